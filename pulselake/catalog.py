@@ -8,6 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from pulselake import schemas
 from pulselake.functions import bands, clean
@@ -557,59 +558,61 @@ def dq_quarantine(spark, sf_dir):
 
 # Streaming --------------------------------------------------------------------
 
-def _landed(spark: SparkSession, sf_dir: str, label: str, copies: bool = False) -> str:
-    """The events as files in two deliveries, the second only after the first."""
-    root = shared_dir(spark, label)
+def _in_two_runs(spark: SparkSession, sf_dir: str, root: str,
+                 writer: Callable[[DataFrame], DataStreamWriter], copies: bool = False) -> int:
+    """Run a streaming job on the first delivery and, from its checkpoint, on
+    the second, optionally with the first delivered once more. Returns the last
+    batch id."""
+    done = None
     for second in (False, True):
         _deliver(spark, sf_dir, f"{root}/in", second)
-        if copies:
-            _deliver(spark, sf_dir, f"{root}/in", second)
-    return root
-
-
-def _stream(spark: SparkSession, root: str) -> DataFrame:
-    return raw.stream_jsonl(spark, f"{root}/in", with_id=True)
+        if second and copies:
+            _deliver(spark, sf_dir, f"{root}/in", False)
+        events = raw.stream_jsonl(spark, f"{root}/in", with_id=True)
+        done = jobs.drain(writer(events), f"{root}/checkpoint")
+    return done.lastProgress["batchId"]
 
 
 @query
 def stream_flatten(spark, sf_dir):
-    root = _landed(spark, sf_dir, "flatten")
-    jobs.drain(jobs.to_parquet(jobs.flatten(_stream(spark, root)), f"{root}/out"), f"{root}/cp")
+    root = shared_dir(spark, "flatten")
+    _in_two_runs(spark, sf_dir, root, lambda events: jobs.to_parquet(jobs.flatten(events), f"{root}/out"))
     return _naive(spark.read.parquet(f"{root}/out"))
 
 
 @query
 def stream_lake_sink(spark, sf_dir):
-    root = _landed(spark, sf_dir, "lakesink")
-    jobs.drain(jobs.to_lake(_stream(spark, root), f"{root}/out"), f"{root}/cp")
+    root = shared_dir(spark, "lakesink")
+    _in_two_runs(spark, sf_dir, root, lambda events: jobs.to_lake(events, f"{root}/out"))
     return spark.read.schema("event_id bigint, user_id bigint, heart_rate bigint, year string,"
                              " month string, day string, hour string").json(f"{root}/out")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    root = _landed(spark, sf_dir, "dedup", copies=True)
-    unique = jobs.dedup(jobs.flatten(_stream(spark, root)), "31 days")
-    jobs.drain(jobs.to_parquet(unique, f"{root}/out"), f"{root}/cp")
+    root = shared_dir(spark, "dedup")
+
+    def writer(events: DataFrame) -> DataStreamWriter:
+        # The copies arrive up to a month of event time later.
+        return jobs.to_parquet(jobs.dedup(jobs.flatten(events), "31 days"), f"{root}/out")
+
+    _in_two_runs(spark, sf_dir, root, writer, copies=True)
     return _naive(spark.read.parquet(f"{root}/out"))
 
 
 @query
 def stream_daily_stats(spark, sf_dir):
     """Days that have closed: all but the last, which the watermark holds open."""
-    root = _landed(spark, sf_dir, "daily")
-    daily = jobs.daily_stats(jobs.flatten(_stream(spark, root)))
-    jobs.drain(jobs.to_parquet(daily, f"{root}/out"), f"{root}/cp")
+    root = shared_dir(spark, "daily")
+    _in_two_runs(spark, sf_dir, root, lambda events: jobs.to_parquet(
+        jobs.daily_stats(jobs.flatten(events)), f"{root}/out"))
     return spark.read.parquet(f"{root}/out")
 
 
 def _streamed_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "previous")
     job = jobs.PreviousReading(spark, f"{root}/job", delay=3600)
-    for second in (False, True):
-        _deliver(spark, sf_dir, f"{root}/in", second)
-        query_run = jobs.drain(job.writer(jobs.flatten(_stream(spark, root))), f"{root}/cp")
-    job.finish(query_run.lastProgress["batchId"])
+    job.finish(_in_two_runs(spark, sf_dir, root, lambda events: job.writer(jobs.flatten(events))))
     return job.result()
 
 

@@ -16,22 +16,18 @@ from pyspark.sql import functions as F
 
 from pulselake.operators.skew import Hot, hot_keys, join_back, split_by_keys
 
-_SLICE = ["_hour", "_second", "_part"]
-_PARTS = 1024  # pieces of one second in an hour that is itself hot
-
-
-def second_of(ts: str) -> Column:
-    """Event times are whole epoch seconds; order within one is by event id."""
-    return F.unix_seconds(F.col(ts))
+_SLICE = ["_hour", "_instant", "_part"]
+_PARTS = 1024  # pieces of one instant in an hour that is itself hot
 
 
 def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFrame:
-    """Add slice columns whose order agrees with (second, tie) for each key.
+    """Add slice columns whose order agrees with (ts, tie) for each key.
 
-    A slice is an hour. An hour with more than ``limit`` rows is cut by second
-    and by range of the tie column; there are at most rows/limit such hours.
+    A slice is an hour. An hour with more than ``limit`` rows is cut by instant
+    and by range of the tie column; there are at most rows/limit such hours,
+    and event times are whole seconds, so at most 3600 instants in each.
     """
-    rows = rows.withColumn("_hour", F.floor(second_of(ts) / F.lit(3600)))
+    rows = rows.withColumn("_hour", F.floor(F.unix_seconds(ts) / F.lit(3600)))
     dense = (rows.groupBy(key, "_hour")
              .agg(F.count(F.lit(1)).alias("_n"),
                   F.min(tie).cast("double").alias("_lo"), F.max(tie).cast("double").alias("_hi"))
@@ -39,32 +35,31 @@ def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFra
     rows = rows.join(F.broadcast(dense), [key, "_hour"], "left")
     cut = F.col("_lo").isNotNull()
     position = (F.col(tie).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))
-    return (rows.withColumn("_second", F.when(cut, second_of(ts)).otherwise(F.lit(0)))
+    return (rows.withColumn("_instant", F.when(cut, F.unix_micros(ts)).otherwise(F.lit(0)))
             .withColumn("_part", F.when(cut, F.floor(position * _PARTS)).otherwise(F.lit(0)))
             .drop("_lo", "_hi"))
 
 
 def _previous_whole(rows: DataFrame, key: str, ts: str, tie: str, value: str, out: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(second_of(ts), F.col(tie))
-    return rows.withColumn(out, F.lag(value).over(w))
+    return rows.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(ts, tie)))
 
 
 def _previous_sliced(rows: DataFrame, key: str, ts: str, tie: str, value: str, out: str,
                      limit: int) -> DataFrame:
     rows = _slices(rows, key, ts, tie, limit)
-    order = [second_of(ts), F.col(tie)]
-    inside = Window.partitionBy(key, *_SLICE).orderBy(*order)
+    inside = Window.partitionBy(key, *_SLICE).orderBy(ts, tie)
     # One row per slice, combined map-side: the window below sees slices, not rows.
     last = (rows.groupBy(key, *_SLICE)
-            .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last")))
+            .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(ts, tie)).alias("_last")))
     carry = last.select(
         key, *_SLICE,
         F.lag(F.col("_last.v")).over(Window.partitionBy(key).orderBy(*_SLICE)).alias("_carry"))
-    return (rows.withColumn("_inside", F.lag(value).over(inside))
-            .withColumn("_first", F.row_number().over(inside) == 1)
+    # The rows are partitioned by slice already, so the join moves only `carry`.
+    return (rows.withColumns({"_inside": F.lag(value).over(inside),
+                              "_number": F.row_number().over(inside)})
             .join(carry, [key, *_SLICE], "left")
-            .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_inside")))
-            .drop("_inside", "_first", "_carry", *_SLICE))
+            .withColumn(out, F.when(F.col("_number") == 1, F.col("_carry")).otherwise(F.col("_inside")))
+            .drop("_inside", "_number", "_carry", *_SLICE))
 
 
 def _stats_whole(rows: DataFrame, group: list[str], stats: dict[str, Column]) -> DataFrame:
@@ -92,7 +87,8 @@ def _by_heat(rows: DataFrame, key: str, hot: Hot | None,
 
 def with_previous(rows: DataFrame, key: str, ts: str, tie: str, value: str, out: str,
                   hot: Hot | None = None) -> DataFrame:
-    """Add ``out``: the key's value just before, NULL on its first row."""
+    """Add ``out``: the key's value just before in (ts, tie) order, NULL on the
+    key's first row."""
     return _by_heat(
         rows, key, hot,
         lambda part: _previous_whole(part, key, ts, tie, value, out),
@@ -110,17 +106,22 @@ def with_group_stats(rows: DataFrame, group: list[str], stats: dict[str, Column]
 
 
 def with_previous_and_stats(rows: DataFrame, ts: str, tie: str, value: str, out: str,
-                            group: list[str], stats: dict[str, Column],
-                            hot: Hot | None = None) -> DataFrame:
+                            group: list[str], derived: dict[str, Column],
+                            stats: dict[str, Column], hot: Hot | None = None) -> DataFrame:
     """Both of the above in one go, keyed by the first column of ``group``.
 
     Other users need a single shuffle for it, because a partitioning by key
-    already gathers every finer group.
+    already gathers every finer group. ``derived`` are group columns computed
+    from the row; they are added after that shuffle, which keeps it narrow.
     """
     key = group[0]
-    return _by_heat(
-        rows, key, hot,
-        lambda part: _stats_whole(
-            _previous_whole(part, key, ts, tie, value, out), group, stats),
-        lambda part, h: _stats_joined(
-            _previous_sliced(part, key, ts, tie, value, out, h.limit), part, group, stats))
+
+    def whole(part: DataFrame) -> DataFrame:
+        part = _previous_whole(part, key, ts, tie, value, out).withColumns(derived)
+        return _stats_whole(part, group, stats)
+
+    def sliced(part: DataFrame, h: Hot) -> DataFrame:
+        previous = _previous_sliced(part, key, ts, tie, value, out, h.limit).withColumns(derived)
+        return _stats_joined(previous, part.withColumns(derived), group, stats)
+
+    return _by_heat(rows, key, hot, whole, sliced)

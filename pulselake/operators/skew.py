@@ -77,6 +77,16 @@ def left_join(fact: DataFrame, dim: DataFrame, key: str, hot: Hot | None = None)
             .unionByName(hot_rows.join(F.broadcast(hot_dim), key, "left")))
 
 
+def checked_broadcast(dim: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``dim`` marked for broadcast if it has at most ``max_rows`` rows. Beyond
+    that it is returned unmarked, for a shuffled join whose skew AQE splits.
+
+    Without the mark a reading's few activity ids would each shuffle to one
+    task whenever Spark cannot tell the dimension's size in advance."""
+    counted = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if counted <= max_rows else dim
+
+
 def renamed_keys(columns: list[str]) -> dict[str, str]:
     return {c: f"_key_{c}" for c in columns}
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.functions.calendar import season, time_category
+from pulselake.operators.skew import checked_broadcast
 
 
 def daily_hr_stats(hr: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def by_activity_and_demographic(hr: DataFrame, users: DataFrame, activities: Dat
         F.count("heart_rate").alias("readings"), F.sum("heart_rate").alias("total"),
         F.min("heart_rate").alias("low"), F.max("heart_rate").alias("high"))
     who = users.select("user_id", "gender", F.col("address_country").alias("region"))
-    return (per_user.join(activities.select("activity_id", "activity_name"), "activity_id", "left")
+    return (per_user.join(checked_broadcast(activities.select("activity_id", "activity_name")), "activity_id", "left")
             .join(who, "user_id", "left")
             .rollup("activity_name", "gender", "region")
             .agg(F.grouping_id().cast("int").alias("level"), F.sum("readings").alias("readings"),
@@ -74,7 +75,7 @@ def activity_likelihood(hr: DataFrame, users: DataFrame, activities: DataFrame)
                           time_category(F.hour("event_timestamp")).alias("time_category")
                           ).agg(F.count(F.lit(1)).alias("n"))
     where = users.select("user_id", F.col("address_country").alias("region"))
-    counts = (per_user.join(activities.select("activity_id", "activity_name"), "activity_id", "left")
+    counts = (per_user.join(checked_broadcast(activities.select("activity_id", "activity_name")), "activity_id", "left")
               .join(where, "user_id", "left")
               .groupBy("region", "time_category", "activity_name").agg(F.sum("n").alias("readings")))
     w = Window.partitionBy("region", "time_category")

@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.functions.calendar import minute_of_day, time_of_day
 from pulselake.operators import ordered
-from pulselake.operators.skew import Hot, left_join
+from pulselake.operators.skew import Hot, checked_broadcast, left_join
 from pulselake.schemas import FCT_HEART_RATE
 
 DAILY_GROUP = ["user_key", "activity_id", "event_date"]
-DAILY_STATS = {
-    "max_heart_rate": F.max,
-    "min_heart_rate": F.min,
-    "avg_heart_rate": F.avg,
-}
 
 
-def daily_stats() -> dict:
-    return {name: f("heart_rate") for name, f in DAILY_STATS.items()}
+def daily_stats() -> dict[str, Column]:
+    return {"max_heart_rate": F.max("heart_rate"), "min_heart_rate": F.min("heart_rate"),
+            "avg_heart_rate": F.avg("heart_rate")}
+
+
+def with_date_and_time(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"event_date": F.to_date("event_timestamp"),
+                             "event_time": time_of_day(F.col("event_timestamp"))})
 
 
 def base(hr: DataFrame) -> DataFrame:
-    """Readings with the fact's keys; each derived once, before any window."""
-    return hr.select(
-        F.col("user_id").alias("user_key"), "heart_rate",
-        F.to_date("event_timestamp").alias("event_date"),
-        time_of_day(F.col("event_timestamp")).alias("event_time"),
-        "activity_id", "latitude", "longitude", "event_timestamp", "event_id")
+    """Readings with the fact's keys."""
+    return with_date_and_time(hr.withColumnRenamed("user_id", "user_key"))
 
 
 def fact_rows(hr: DataFrame, hot: Hot | None = None) -> DataFrame:
@@ -38,9 +35,11 @@ def fact_rows(hr: DataFrame, hot: Hot | None = None) -> DataFrame:
     its key neither adds nor drops a row, and the fact shows none of their
     columns. ``star`` joins them where attributes are wanted.
     """
-    return ordered.with_previous_and_stats(
-        base(hr), "event_timestamp", "event_id", "heart_rate", "previous_heart_rate",
-        DAILY_GROUP, daily_stats(), hot)
+    rows = ordered.with_previous_and_stats(
+        hr.withColumnRenamed("user_id", "user_key"),
+        "event_timestamp", "event_id", "heart_rate", "previous_heart_rate",
+        DAILY_GROUP, {"event_date": F.to_date("event_timestamp")}, daily_stats(), hot)
+    return rows.withColumn("event_time", time_of_day(F.col("event_timestamp")))
 
 
 def fct_heart_rate(hr: DataFrame, hot: Hot | None = None) -> DataFrame:
@@ -49,8 +48,9 @@ def fct_heart_rate(hr: DataFrame, hot: Hot | None = None) -> DataFrame:
 
 # Star joins -------------------------------------------------------------------
 # All keep every reading. The date and time dimensions have a proven size (days
-# of the calendar, minutes of a day) and are broadcast. Activities and users
-# are not hinted: Spark broadcasts them if their measured size allows.
+# of the calendar, minutes of a day) and are broadcast. Activities are broadcast
+# after a count. Users are not hinted: Spark broadcasts them if their measured
+# size allows, and readings of hot users are joined apart.
 
 def join_users(rows: DataFrame, users: DataFrame, columns: list[str],
                hot: Hot | None = None) -> DataFrame:
@@ -59,7 +59,8 @@ def join_users(rows: DataFrame, users: DataFrame, columns: list[str],
 
 
 def join_activities(rows: DataFrame, activities: DataFrame) -> DataFrame:
-    return rows.join(activities.select("activity_id", "activity_name"), "activity_id", "left")
+    dim = checked_broadcast(activities.select("activity_id", "activity_name"))
+    return rows.join(dim, "activity_id", "left")
 
 
 def join_date(rows: DataFrame, dates: DataFrame, columns: list[str]) -> DataFrame:

@@ -125,10 +125,9 @@ def refresh_gold_since(lake: Lake, since: datetime.date, hot: Hot | None = None)
     """
     older = lake.read("silver", "heart_rate_cleaned", where=f"event_day < date'{since}'")
     newer = lake.read("silver", "heart_rate_cleaned", where=f"event_day >= date'{since}'")
-    rest = [c for c in older.columns if c not in ("user_id", "event_timestamp", "event_id")]
     last = (older.groupBy("user_id")
-            .agg(F.max(F.struct("event_timestamp", "event_id", *rest)).alias("r"))
-            .select("user_id", "r.*").select(*older.columns))
-    rows = gold.fct_heart_rate(newer.unionByName(last), hot)
+            .agg(F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r"))
+            .select("user_id", "r.*"))
+    rows = gold.fct_heart_rate(newer.unionByName(last, allowMissingColumns=True), hot)
     lake.write(rows.filter(F.col("event_date") >= F.lit(since)), "gold", "fct_heart_rate",
                only_partitions=True)

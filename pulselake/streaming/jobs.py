@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from pulselake.operators.ordered import second_of, with_previous
+from pulselake.operators.ordered import with_previous
 from pulselake.operators.skew import Hot
 from pulselake.plans import silver
 from pulselake.session import remove_path
@@ -112,7 +112,7 @@ class PreviousReading:
     def process(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
         """The ``foreachBatch`` function; ``final`` settles everything."""
         rows = batch.select(*self.COLUMNS).persist()
-        second = second_of("event_timestamp")
+        second = F.unix_seconds("event_timestamp")
         was = self._line(batch_id - 1)
         newest = rows.agg(F.max(second).alias("s")).first()["s"]
         lines = [x for x in (was, None if newest is None else newest - self.delay) if x is not None]
