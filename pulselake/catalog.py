@@ -263,6 +263,16 @@ def scd2_history(spark, sf_dir):
         "user_sk", keys.surrogate_key("user_id", "start_date", algorithm="md5"))
 
 
+@query
+def scd2_merge(spark, sf_dir):
+    """A history of the orders before 1996, brought up to date with the later ones."""
+    snapshots = testdata.user_snapshots(spark, sf_dir)
+    how = ("user_id", ["last_update", "version"], "update_day", ["address", "blood_type"])
+    history = keys.scd2_history(snapshots.filter(F.col("update_day") < F.lit("1996-01-01").cast("date")), *how)
+    later = snapshots.filter(F.col("update_day") >= F.lit("1996-01-01").cast("date"))
+    return keys.scd2_merge(history, later, *how)
+
+
 # Joins ------------------------------------------------------------------------
 
 def _reading_columns(df: DataFrame, *more: str) -> DataFrame:
@@ -526,9 +536,11 @@ def reconcile_detail_rows(spark, sf_dir):
 @query
 def dq_lag_continuity(spark, sf_dir):
     """Readings whose stored previous value is not the one before them."""
-    rows = gold.fact_rows(_hr(spark, sf_dir)).withColumn(
+    hr = _hr(spark, sf_dir)
+    hot = hot_keys(hr, "user_id")
+    rows = gold.fact_rows(hr, hot).withColumn(
         "previous_heart_rate", F.when(F.col("heart_rate") > 200, F.lit(0)).otherwise(F.col("previous_heart_rate")))
-    return quality.broken_previous(rows).select("event_id", "user_key", "previous_heart_rate", "expected")
+    return quality.broken_previous(rows, hot).select("event_id", "user_key", "previous_heart_rate", "expected")
 
 
 @query

@@ -34,11 +34,10 @@ def typed_null(type_name: str) -> Column:
 
 
 def event_id(columns: list[str]) -> Column:
-    """The source's id, or one derived from the whole record.
+    """The source's id or, where it gives none, one derived from the whole record.
 
     Copies of a record then share their id and differing records do not, so the
     id serves both as tie-breaker and, with user and second, as dedup key.
     """
-    if "event_id" in columns:
-        return F.col("event_id").cast("bigint")
-    return F.xxhash64("user_id", "timestamp", "heart_rate", "meta")
+    derived = F.xxhash64("user_id", "timestamp", "heart_rate", "meta")
+    return F.coalesce(F.col("event_id").cast("bigint"), derived) if "event_id" in columns else derived

@@ -55,3 +55,17 @@ def scd2_history(snapshots: DataFrame, key: str, order: list[str], effective: st
         key, "_now.*",
         F.col(effective).alias("start_date"),
         F.lead(effective).over(w).alias("end_date"))
+
+
+def scd2_merge(history: DataFrame, snapshots: DataFrame, key: str, order: list[str],
+               effective: str, attributes: list[str]) -> DataFrame:
+    """``history`` (as ``scd2_history`` returns it) brought up to date.
+
+    Every version counts as a snapshot taken when it started, ranked before the
+    new snapshots of that day, so older snapshots need not be kept.
+    """
+    first = [F.lit(None).cast(snapshots.schema[c].dataType).alias(c) for c in order]
+    known = history.select(key, *attributes, F.col("start_date").alias(effective), *first,
+                           F.lit(0).alias("_new"))
+    fresh = snapshots.select(*known.columns[:-1], F.lit(1).alias("_new"))
+    return scd2_history(known.unionByName(fresh), key, ["_new", *order], effective, attributes)

@@ -142,7 +142,7 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_o
 # Keys and history
 ORACLE["surrogate_key"] = f"""WITH {USERS} SELECT user_id, start_date,
   md5(user_id || '|' || CAST(start_date AS VARCHAR)) AS user_sk FROM users"""
-ORACLE["scd2_history"] = """WITH daily AS (
+_SCD2 = """WITH daily AS (
   SELECT o_custkey AS user_id, CAST(o_orderdate AS DATE) AS start_date,
          o_orderpriority AS address, o_orderstatus AS blood_type FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE)
@@ -155,9 +155,9 @@ versions AS (
   SELECT * FROM marked
   WHERE n = 1 OR address IS DISTINCT FROM was_address OR blood_type IS DISTINCT FROM was_type)
 SELECT user_id, address, blood_type, start_date,
-       lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) AS end_date,
-       md5(user_id || '|' || CAST(start_date AS VARCHAR)) AS user_sk
-FROM versions"""
+       lead(start_date) OVER (PARTITION BY user_id ORDER BY start_date) AS end_date"""
+ORACLE["scd2_history"] = _SCD2 + """, md5(user_id || '|' || CAST(start_date AS VARCHAR)) AS user_sk FROM versions"""
+ORACLE["scd2_merge"] = _SCD2 + " FROM versions"
 
 # Joins
 ORACLE["join_users"] = ORACLE["join_users_hot_split"] = f"""WITH {HR}, {USERS}

@@ -43,6 +43,7 @@ def build_silver(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
     lake.write(silver.latest_activities(lake.read("bronze", "raw_activities")), "silver", "dim_activities")
     lake.write(silver.distinct_heart_rate(lake.read("bronze", "heartrate_stream")),
                "silver", "heart_rate_cleaned")
+    lake.write(silver.last_readings(lake.read("silver", "heart_rate_cleaned")), "silver", "last_readings")
     lake.write(dims.dim_date(lake.spark, first_day, last_day), "silver", "dim_date")
     lake.write(dims.dim_time(lake.spark), "silver", "dim_time")
 
@@ -107,27 +108,41 @@ def append_silver(lake: Lake, raw: DataFrame, since: datetime.date) -> None:
 
     Only those days are read and rewritten; copies of known readings vanish.
     """
+    recent = f"event_day >= date'{since}'"
     fresh = silver.heart_rate(raw).filter(F.to_date("event_timestamp") >= F.lit(since))
-    known = lake.read("silver", "heart_rate_cleaned", where=f"event_day >= date'{since}'")
+    known = lake.read("silver", "heart_rate_cleaned", where=recent)
     merged = dedup_events(known.unionByName(fresh))
     # Spark will not overwrite what the same job reads, so the merged days go
     # to a reliable checkpoint first.
     ensure_checkpoint_dir(lake.spark)
     lake.write(merged.checkpoint(), "silver", "heart_rate_cleaned", only_partitions=True)
+    days = lake.read("silver", "heart_rate_cleaned", where=recent)
+    lake.write(silver.last_readings(days), "silver", "last_readings", only_partitions=True)
 
 
 def refresh_gold_since(lake: Lake, since: datetime.date, hot: Hot | None = None) -> None:
     """Recompute the fact from day ``since`` on and replace just those days.
 
     A reading's previous value depends on earlier readings only, so days before
-    ``since`` stand. What they contribute is each user's last reading, found by
-    a map-side combined maximum over the older days.
+    ``since`` stand. What they contribute is each user's last reading, found in
+    the small table of last readings instead of the history itself.
     """
-    older = lake.read("silver", "heart_rate_cleaned", where=f"event_day < date'{since}'")
     newer = lake.read("silver", "heart_rate_cleaned", where=f"event_day >= date'{since}'")
-    last = (older.groupBy("user_id")
+    before = lake.read("silver", "last_readings", where=f"event_day < date'{since}'")
+    last = (before.groupBy("user_id")
             .agg(F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r"))
             .select("user_id", "r.*"))
     rows = gold.fct_heart_rate(newer.unionByName(last, allowMissingColumns=True), hot)
     lake.write(rows.filter(F.col("event_date") >= F.lit(since)), "gold", "fct_heart_rate",
                only_partitions=True)
+
+
+def incremental_refresh(lake: Lake, since: datetime.date) -> None:
+    """Bring silver and gold up to date with the bronze readings dated ``since``
+    or later. The filter is on the raw column, so the scan skips older files."""
+    first_second = int(datetime.datetime.combine(since, datetime.time(), datetime.timezone.utc).timestamp())
+    raw = lake.read("bronze", "heartrate_stream").filter(F.col("timestamp") >= first_second)
+    append_silver(lake, raw, since)
+    check_silver(lake)
+    refresh_gold_since(lake, since)
+    check_gold(lake)

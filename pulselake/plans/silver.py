@@ -62,3 +62,10 @@ def unparsed_dates(raw: DataFrame) -> DataFrame:
     """Users whose date of birth is given but is no calendar day."""
     return raw.filter(F.col("userid").isNotNull() & F.col("dob").isNotNull()
                       & parse_yyyymmdd(F.col("dob")).isNull())
+
+
+def last_readings(hr: DataFrame) -> DataFrame:
+    """Each user's last reading of each day, combined map-side."""
+    day = F.to_date("event_timestamp").alias("event_day")
+    last = F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r")
+    return hr.groupBy("user_id", day).agg(last).select("user_id", "r.*")

@@ -30,6 +30,10 @@ _ALL = [
     Table("silver", "dim_activities", "dim_activities", schemas.DIM_ACTIVITIES),
     Table("silver", "heart_rate_cleaned", "heart_rate_cleaned", schemas.HEART_RATE_CLEANED,
           {"event_day": "to_date(event_timestamp)"}),
+    # Each user's last reading of each day: what an incremental refresh needs to
+    # know of the days before it.
+    Table("silver", "last_readings", "last_readings", schemas.LAST_READINGS,
+          {"event_day": "to_date(event_timestamp)"}),
     Table("silver", "dim_date", "dim_date", schemas.DIM_DATE),
     Table("silver", "dim_time", "dim_time", schemas.DIM_TIME),
     Table("gold", "fct_heart_rate", "fct_heart_rate", schemas.FCT_HEART_RATE,
@@ -55,6 +59,9 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet",
                  options: dict[str, str] | None = None):
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        if zone not in ("UTC", "Etc/UTC", "GMT", "Z"):
+            raise ValueError(f"event days are UTC days, but spark.sql.session.timeZone is {zone}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt

@@ -46,6 +46,7 @@ HEART_RATE_CLEANED = _struct(
     "user_id bigint, heart_rate bigint, event_timestamp timestamp, activity_id bigint,"
     " latitude double, longitude double, event_id bigint"
 )
+LAST_READINGS = _struct("user_id bigint, event_timestamp timestamp, event_id bigint, heart_rate bigint")
 DIM_DATE = _struct(
     "date_day date, date date, prior_date_day date, next_date_day date,"
     " prior_year_date_day date, prior_year_over_year_date_day date, year_start_date date,"

@@ -48,3 +48,23 @@ def test_history_opens_a_version_only_on_change(spark):
 def test_latest_ties_are_settled_the_same_way_every_time(spark):
     df = spark.createDataFrame([(1, "t", 5), (1, "t", 9), (1, "s", 99)], "id long, at string, v long")
     assert {keys.dedup_latest(df.repartition(n), "id", "at").first().v for n in (1, 2, 3)} == {9}
+
+
+def test_history_merged_in_steps_equals_history_built_at_once(spark):
+    rows = [(u, f"2024-{m:02d}-{d:02d}", u * 1000 + m * 31 + d, "ABC"[(u * m + d // 9) % 3])
+            for u in range(6) for m in range(1, 7) for d in (1, 10, 28)]
+    df = snapshots(spark, rows)
+    how = ("user_id", ["at", "n"], "day", ["city"])
+    merged = keys.scd2_history(df.filter("day < '2024-02-15'"), *how)
+    for low, high in (("2024-02-15", "2024-05-01"), ("2024-05-01", "2025-01-01")):
+        merged = keys.scd2_merge(merged, df.filter(f"day >= '{low}' and day < '{high}'"), *how)
+    want = sorted(map(str, keys.scd2_history(df, *how).collect()))
+    assert sorted(map(str, merged.collect())) == want
+
+
+def test_a_correction_on_the_same_day_replaces_the_version(spark):
+    how = ("user_id", ["at", "n"], "day", ["city"])
+    history = keys.scd2_history(snapshots(spark, [(1, "2024-01-01", 1, "Oslo"), (1, "2024-02-01", 2, "Rome")]), *how)
+    merged = keys.scd2_merge(history, snapshots(spark, [(1, "2024-02-01", 3, "Bern")]), *how)
+    assert sorted((r.city, r.start_date, r.end_date) for r in merged.collect()) == [
+        ("Bern", D(2024, 2, 1), None), ("Oslo", D(2024, 1, 1), D(2024, 2, 1))]

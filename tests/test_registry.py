@@ -74,3 +74,12 @@ def test_event_day_is_the_utc_day(spark, path):
     assert os.path.isdir(path + "/silver/heart_rate_cleaned/event_day=2024-01-01")
     assert lake.read("silver", "heart_rate_cleaned").select(
         F.to_date("event_timestamp")).first()[0] == datetime.date(2024, 1, 1)
+
+
+def test_another_time_zone_is_refused(spark, path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="Asia/Tokyo"):
+            Lake(spark, path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -83,3 +83,18 @@ def test_as_date_accepts_instants_and_dates(spark):
     df = spark.createDataFrame([("2024-10-28T12:08:02Z",), ("2024-10-28",), ("28/10/2024",)], "s string")
     got = [r[0] for r in df.select(clean.as_date(F.col("s"))).collect()]
     assert got == [datetime.date(2024, 10, 28)] * 2 + [None]
+
+
+def test_a_null_event_id_is_derived_too(spark):
+    raw = raw_events(spark, [(None, 1, 80, "2024-01-01T00:00:00", meta()), (7, 1, 80, "2024-01-01T00:00:00", meta())])
+    ids = sorted(r.event_id for r in silver.heart_rate(raw).collect())
+    assert 7 in ids and None not in ids and len(set(ids)) == 2
+
+
+def test_last_reading_of_each_day(spark):
+    hr = silver.heart_rate(raw_events(spark, [
+        (1, 1, 60, "2024-01-01T00:00:00", meta()), (3, 1, 61, "2024-01-01T09:00:00", meta()),
+        (2, 1, 62, "2024-01-01T09:00:00", meta()), (4, 1, 63, "2024-01-02T00:00:00", meta())]))
+    df = silver.last_readings(hr)
+    schemas.check_contract(df, schemas.LAST_READINGS)
+    assert sorted(r.event_id for r in df.collect()) == [3, 4]
