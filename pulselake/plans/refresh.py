@@ -137,11 +137,14 @@ def refresh_gold_since(lake: Lake, since: datetime.date, hot: Hot | None = None)
                only_partitions=True)
 
 
-def incremental_refresh(lake: Lake, since: datetime.date) -> None:
+def incremental_refresh(lake: Lake, since: datetime.date,
+                        arrived_since: datetime.date | None = None) -> None:
     """Bring silver and gold up to date with the bronze readings dated ``since``
-    or later. The filter is on the raw column, so the scan skips older files."""
+    or later. ``arrived_since`` limits the scan to what arrived from that day
+    on; without it all of bronze is searched, by file statistics."""
     first_second = int(datetime.datetime.combine(since, datetime.time(), datetime.timezone.utc).timestamp())
-    raw = lake.read("bronze", "heartrate_stream").filter(F.col("timestamp") >= first_second)
+    arrived = f"ingest_day >= date'{arrived_since}'" if arrived_since else None
+    raw = lake.read("bronze", "heartrate_stream", where=arrived).filter(F.col("timestamp") >= first_second)
     append_silver(lake, raw, since)
     check_silver(lake)
     refresh_gold_since(lake, since)

@@ -25,7 +25,9 @@ class Table:
 _ALL = [
     Table("bronze", "raw_users", "raw_user", schemas.RAW_USER),
     Table("bronze", "raw_activities", "raw_activity", schemas.RAW_ACTIVITY),
-    Table("bronze", "heartrate_stream", "heartrate_stream", schemas.RAW_HEART_RATE_WITH_ID),
+    # By arrival, so that an incremental refresh need not open older files.
+    Table("bronze", "heartrate_stream", "heartrate_stream", schemas.RAW_HEART_RATE_WITH_ID,
+          {"ingest_day": "current_date()"}),
     Table("silver", "dim_users", "dim_users", schemas.DIM_USERS),
     Table("silver", "dim_activities", "dim_activities", schemas.DIM_ACTIVITIES),
     Table("silver", "heart_rate_cleaned", "heart_rate_cleaned", schemas.HEART_RATE_CLEANED,

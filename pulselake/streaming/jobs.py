@@ -46,10 +46,12 @@ def to_topic(events: DataFrame, servers: str, topic: str) -> DataStreamWriter:
 def incremental_append(spark: SparkSession, source: str, table: str, checkpoint: str,
                        with_id: bool = False, max_age: str = "3d") -> StreamingQuery:
     """Append to ``table`` the records of files not seen before, malformed ones
-    included, each with its file and that file's modification time. Running it
-    again without new files adds nothing."""
+    included, each with its file and that file's modification time. The table is
+    partitioned by the day of the latter. Running it again without new files
+    adds nothing."""
     rows = raw.with_lineage(raw.stream_jsonl(spark, source, with_id, max_age=max_age))
-    return drain(to_parquet(rows, table), checkpoint)
+    rows = rows.withColumn("ingest_day", F.to_date("_source_modified"))
+    return drain(to_parquet(rows, table).partitionBy("ingest_day"), checkpoint)
 
 
 def dedup(readings: DataFrame, delay: str = "1 hour") -> DataFrame:

@@ -40,3 +40,7 @@ def test_from_raw_files_to_gold_and_on(spark, path):
     cli("refresh", "--since", "2024-01-02")
     assert previous() == [*day_one, ("2024-01-02", "00:00:00", 75, 72)]
     assert lake.read("bronze", "heartrate_stream").count() == 5
+    cli("refresh", "--since", "2024-01-02", "--arrived-since", "2024-01-02")
+    assert previous() == [*day_one, ("2024-01-02", "00:00:00", 75, 72)]
+    tomorrow = lake.read("bronze", "heartrate_stream", where="ingest_day > current_date()")
+    assert tomorrow.count() == 0
