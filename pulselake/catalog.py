@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from pulselake import schemas
-from pulselake.functions import bands, clean
-from pulselake.functions.calendar import (
-    CATEGORY_NAMES, day_of_week, is_weekend, minute_of_day, time_category)
+from pulselake.functions import bands, calendar, clean
 from pulselake.operators import keys, ordered, quality
 from pulselake.operators.skew import hot_keys
 from pulselake.plans import analytics, dims, gold, refresh, silver
@@ -449,15 +447,16 @@ def dim_date(spark, sf_dir):
 @query
 def dim_time(spark, sf_dir):
     """The minutes of the day, with the readings of each."""
-    per_minute = (_hr(spark, sf_dir).groupBy(minute_of_day(F.col("event_timestamp")).alias("time_of_day"))
+    per_minute = (_hr(spark, sf_dir).groupBy(calendar.minute_of_day(F.col("event_timestamp")).alias("time_of_day"))
                   .agg(F.count(F.lit(1)).alias("readings")))
     return (dims.dim_time(spark).join(per_minute, "time_of_day", "left")
             .withColumn("readings", F.coalesce("readings", F.lit(0))))
 
 
 @query
-def time_category_counts(spark, sf_dir):
-    return (_hr(spark, sf_dir).groupBy(time_category(F.hour("event_timestamp")).alias("time_category"))
+def time_category(spark, sf_dir):
+    """Readings per category of the time of day."""
+    return (_hr(spark, sf_dir).groupBy(calendar.time_category(F.hour("event_timestamp")).alias("time_category"))
             .agg(F.count(F.lit(1)).alias("readings")))
 
 
@@ -465,8 +464,8 @@ def time_category_counts(spark, sf_dir):
 def weekday_flags(spark, sf_dir):
     day = F.to_date("o_orderdate")
     return testdata.table(spark, sf_dir, "orders").select(
-        "o_orderkey", day.alias("date"), day_of_week(day).alias("day_of_week"),
-        F.date_format(day, "EEEE").alias("day_name"), is_weekend(day).alias("is_weekend"))
+        "o_orderkey", day.alias("date"), calendar.day_of_week(day).alias("day_of_week"),
+        F.date_format(day, "EEEE").alias("day_name"), calendar.is_weekend(day).alias("is_weekend"))
 
 
 # Quality ----------------------------------------------------------------------
@@ -511,8 +510,8 @@ def dq_accepted_values(spark, sf_dir):
 @query
 def dq_coverage(spark, sf_dir):
     rows = _hr(spark, sf_dir).filter(F.col("heart_rate") > 100)
-    rows = rows.select(time_category(F.hour("event_timestamp")).alias("time_category"))
-    return quality.coverage(rows, "time_category", [*CATEGORY_NAMES, "No Such Category"])
+    rows = rows.select(calendar.time_category(F.hour("event_timestamp")).alias("time_category"))
+    return quality.coverage(rows, "time_category", [*calendar.CATEGORY_NAMES, "No Such Category"])
 
 
 def _tampered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

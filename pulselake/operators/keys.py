@@ -10,8 +10,15 @@ EVENT_KEY = ["user_id", "event_timestamp", "event_id"]
 
 def dedup_events(df: DataFrame, key: list[str] | None = None) -> DataFrame:
     """One row per event. Copies collapse map-side, so a group of any size is
-    down to one row per task before the shuffle."""
-    return df.dropDuplicates(key or EVENT_KEY)
+    down to one row per task before the shuffle.
+
+    Copies that differ are merged column by column to the least known value: a
+    result that depends neither on arrival order nor on which task ran again,
+    and that a hash aggregate can keep in primitive buffers.
+    """
+    key = key or EVENT_KEY
+    rest = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns)
 
 
 def dedup_latest(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -239,7 +239,7 @@ SELECT time_of_day, hour, minute, CAST(0 AS INTEGER) AS second,
        WHEN hour <= 21 THEN 'Evening' ELSE 'Night' END AS time_category,
   CAST(coalesce(readings, 0) AS BIGINT) AS readings
 FROM minutes LEFT JOIN per_minute USING (time_of_day)"""
-ORACLE["time_category_counts"] = f"WITH {HR} SELECT {_CATEGORY} AS time_category, count(*) AS readings FROM hr GROUP BY 1"
+ORACLE["time_category"] = f"WITH {HR} SELECT {_CATEGORY} AS time_category, count(*) AS readings FROM hr GROUP BY 1"
 ORACLE["weekday_flags"] = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date,
   CAST(isodow(o_orderdate) AS INTEGER) AS day_of_week, dayname(o_orderdate) AS day_name,
   isodow(o_orderdate) >= 6 AS is_weekend FROM orders"""

@@ -15,6 +15,20 @@ def test_copies_vanish_and_equal_readings_of_others_stay(spark):
     assert keys.dedup_events(hr).count() == 3
 
 
+def test_differing_copies_merge_the_same_way_in_any_order(spark):
+    rows = [(1, 1, 70, "2024-01-01T00:00:00", "{"), (1, 1, 72, "2024-01-01T00:00:00", meta()),
+            (1, 1, 71, "2024-01-01T00:00:00", meta())]
+    got = {str(keys.dedup_events(silver.heart_rate(raw_events(spark, order)).repartition(n)).collect())
+           for order in (rows, rows[::-1]) for n in (1, 3)}
+    assert len(got) == 1 and "heart_rate=70" in got.pop()
+
+
+def test_dedup_combines_map_side_in_a_hash_aggregate(spark):
+    hr = silver.heart_rate(raw_events(spark, [(1, 1, 70, "2024-01-01T00:00:00", meta())]))
+    plan = keys.dedup_events(hr)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "partial_min" in plan and "SortAggregate" not in plan
+
+
 def test_surrogate_key_is_stable_and_tells_versions_apart(spark):
     df = spark.createDataFrame([(1, D(2024, 1, 1)), (1, D(2024, 1, 2)), (2, D(2024, 1, 1))], "id long, d date")
     for algorithm in ("xxhash64", "md5"):
