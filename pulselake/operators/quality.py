@@ -77,7 +77,8 @@ def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
 def quarantine(df: DataFrame, rules: list[Rule], path: str) -> None:
     """One pass that writes kept and failing rows to sibling directories
     ``quarantined=false`` and ``quarantined=true``."""
-    flag(df, rules).write.mode("overwrite").partitionBy("quarantined").parquet(path)
+    (flag(df, rules).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("quarantined").parquet(path))
 
 
 def coverage(df: DataFrame, column: str, expected: list) -> DataFrame:

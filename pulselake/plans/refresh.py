@@ -13,7 +13,7 @@ from pulselake.operators.keys import dedup_events
 from pulselake.operators.skew import Hot
 from pulselake.plans import dims, gold, silver
 from pulselake.registry import Lake
-from pulselake.session import ensure_checkpoint_dir
+from pulselake.session import remove_path, shared_dir
 
 DIMENSIONS = ["dim_users", "dim_activities", "dim_date", "dim_time"]
 
@@ -112,10 +112,13 @@ def append_silver(lake: Lake, raw: DataFrame, since: datetime.date) -> None:
     fresh = silver.heart_rate(raw).filter(F.to_date("event_timestamp") >= F.lit(since))
     known = lake.read("silver", "heart_rate_cleaned", where=recent)
     merged = dedup_events(known.unionByName(fresh))
-    # Spark will not overwrite what the same job reads, so the merged days go
-    # to a reliable checkpoint first.
-    ensure_checkpoint_dir(lake.spark)
-    lake.write(merged.checkpoint(), "silver", "heart_rate_cleaned", only_partitions=True)
+    # Spark will not overwrite what the same job reads, so the merged days are
+    # written beside the table first.
+    staged = shared_dir(lake.spark, "merge")
+    merged.write.parquet(staged)
+    lake.write(lake.spark.read.schema(merged.schema).parquet(staged),
+               "silver", "heart_rate_cleaned", only_partitions=True)
+    remove_path(lake.spark, staged)
     days = lake.read("silver", "heart_rate_cleaned", where=recent)
     lake.write(silver.last_readings(days), "silver", "last_readings", only_partitions=True)
 

@@ -42,6 +42,8 @@ def test_quarantine_keeps_every_row(spark, path):
     back = spark.read.parquet(path + "/q")
     rows = {r.id: (str(r.quarantined).lower(), r.failed_rules) for r in back.collect()}
     assert rows == {1: ("false", []), None: ("true", ["not_null(id)", "range(lat)"]), 3: ("false", [])}
+    q.quarantine(df.filter("id = 1"), q.not_null("id"), path + "/q")  # nothing of the first run is left
+    assert spark.read.parquet(path + "/q").count() == 1
 
 
 def test_coverage_lists_absent_values(spark):
