@@ -18,6 +18,7 @@ from pulselake.operators.skew import Hot, hot_keys, join_back, split_by_keys
 
 _SLICE = ["_hour", "_instant", "_part"]
 _PARTS = 1024  # pieces of one instant in an hour that is itself hot
+_FIRST = -2**62  # stands for a missing time or id, which sorts first
 
 
 def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFrame:
@@ -27,7 +28,7 @@ def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFra
     and by range of the tie column; there are at most rows/limit such hours,
     and event times are whole seconds, so at most 3600 instants in each.
     """
-    rows = rows.withColumn("_hour", F.floor(F.unix_seconds(ts) / F.lit(3600)))
+    rows = rows.withColumn("_hour", F.coalesce(F.floor(F.unix_seconds(ts) / F.lit(3600)), F.lit(_FIRST)))
     dense = (rows.groupBy(key, "_hour")
              .agg(F.count(F.lit(1)).alias("_n"),
                   F.min(tie).cast("double").alias("_lo"), F.max(tie).cast("double").alias("_hi"))
@@ -35,8 +36,8 @@ def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFra
     rows = rows.join(F.broadcast(dense), [key, "_hour"], "left")
     cut = F.col("_lo").isNotNull()
     position = (F.col(tie).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))
-    return (rows.withColumn("_instant", F.when(cut, F.unix_micros(ts)).otherwise(F.lit(0)))
-            .withColumn("_part", F.when(cut, F.floor(position * _PARTS)).otherwise(F.lit(0)))
+    return (rows.withColumn("_instant", F.when(cut, F.coalesce(F.unix_micros(ts), F.lit(_FIRST))).otherwise(F.lit(0)))
+            .withColumn("_part", F.when(cut, F.coalesce(F.floor(position * _PARTS), F.lit(_FIRST))).otherwise(F.lit(0)))
             .drop("_lo", "_hi"))
 
 

@@ -79,6 +79,15 @@ def test_extreme_event_ids_keep_their_order(spark, hot):
     assert [got[i] for i in ids] == [None, 0, 1, 2, 3, 4, 5, 6]
 
 
+@pytest.mark.parametrize("hot", [Hot(), Hot([1], 1), Hot([1], 100)])
+def test_missing_times_and_ids_come_first(spark, hot):
+    rows = [(1, None, None, 1), (1, None, 5, 2), (1, None, 9, 3), (1, -4000, None, 4), (1, -4000, -3, 5),
+            (1, 0, 1, 6), (1, 0, 2, 7), (1, 7200, 0, 8)]
+    df = spark.createDataFrame(rows, "k long, s long, id long, v long").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r.v: r.p for r in ordered.with_previous(df.repartition(3), "k", "ts", "id", "v", "p", hot).collect()}
+    assert got == {1: None, 2: 1, 3: 2, 4: 3, 5: 4, 6: 5, 7: 6, 8: 7}
+
+
 def test_a_single_reading_and_one_second_ties(spark):
     hr = silver.heart_rate(raw_events(spark, [
         (1, 10001, 70, "2024-01-01T00:00:00", meta()),
