@@ -432,6 +432,13 @@ def fct_heart_rate_hot_split(spark, sf_dir):
     return gold.fct_heart_rate(hr, hot_keys(hr, "user_id", min_rows=66, share=0.0001))
 
 
+@query
+def fct_heart_rate_by_day(spark, sf_dir):
+    """The fact as the refresh computes it, laid out for a write by day."""
+    hr = _hr(spark, sf_dir)
+    return gold.fact_by_day(hr, silver.last_readings(hr))
+
+
 # Dimensions -------------------------------------------------------------------
 
 @query
@@ -620,8 +627,7 @@ def stream_daily_stats(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
-def _streamed_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = shared_dir(spark, "previous")
+def _streamed_previous(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     job = jobs.PreviousReading(spark, f"{root}/job", delay=3600)
     job.finish(_in_two_runs(spark, sf_dir, root, lambda events: job.writer(jobs.flatten(events))))
     return job.result()
@@ -629,16 +635,15 @@ def _streamed_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_previous_hr(spark, sf_dir):
-    return _naive(_streamed_previous(spark, sf_dir))
+    return _naive(_streamed_previous(spark, sf_dir, shared_dir(spark, "previous")))
 
 
 @query
 def replay_equals_stream(spark, sf_dir):
-    """Streamed previous values against the batch recomputation from the files."""
-    streamed = _streamed_previous(spark, sf_dir)
-    path = shared_dir(spark, "replay")
-    raw.write_lake(testdata.raw_heart_rate(spark, sf_dir), path)
-    good, _ = raw.split_corrupt(raw.read_jsonl(spark, path, with_id=True))
+    """Streamed previous values against the batch recomputation from the same files."""
+    root = shared_dir(spark, "replay")
+    streamed = _streamed_previous(spark, sf_dir, root)
+    good, _ = raw.split_corrupt(raw.read_jsonl(spark, f"{root}/in", with_id=True))
     batch = ordered.with_previous(
         silver.heart_rate(good).select(*jobs.PreviousReading.COLUMNS), "user_id", "event_timestamp",
         "event_id", "heart_rate", "previous_heart_rate")
@@ -671,5 +676,5 @@ def incremental_refresh(spark, sf_dir):
     refresh.build_silver(lake)
     refresh.build_gold(lake)
     refresh.append_silver(lake, testdata.raw_heart_rate(spark, sf_dir), since)
-    refresh.refresh_gold_since(lake, since)
+    refresh.build_gold(lake, since)
     return lake.read("gold", "fct_heart_rate")

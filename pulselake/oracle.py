@@ -220,7 +220,7 @@ for _f in ("max", "min", "avg"):
     ORACLE[f"win_{_f}"] = f"""WITH {HR} SELECT event_id, user_id AS user_key, heart_rate, event_date, activity_id,
   {_f}(heart_rate) OVER ({_DAY}) AS {_f}_heart_rate FROM hr"""
 ORACLE["fct_heart_rate"] = ORACLE["fct_heart_rate_hot_split"] = _FACT
-ORACLE["medallion_refresh"] = ORACLE["incremental_refresh"] = _FACT
+ORACLE["fct_heart_rate_by_day"] = ORACLE["medallion_refresh"] = ORACLE["incremental_refresh"] = _FACT
 
 # Dimensions
 ORACLE["dim_date"] = f"""WITH {_DAYS}, per_day AS (

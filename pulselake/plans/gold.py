@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.functions.calendar import minute_of_day, time_of_day
 from pulselake.operators import ordered
-from pulselake.operators.skew import Hot, checked_broadcast, left_join
+from pulselake.operators.skew import Hot, checked_broadcast, hot_keys, left_join, split_by_keys
 from pulselake.schemas import FCT_HEART_RATE
 
 DAILY_GROUP = ["user_key", "activity_id", "event_date"]
@@ -46,6 +48,62 @@ def fct_heart_rate(hr: DataFrame, hot: Hot | None = None) -> DataFrame:
     return fact_rows(hr, hot).select(*FCT_HEART_RATE.names)
 
 
+def _laid_out_by_day(rows: DataFrame, before: DataFrame, days: int) -> DataFrame:
+    """Previous value and statistics with one shuffle that also suits a write by
+    day: rows are gathered by day and by cell, a share of the users.
+
+    ``before`` holds, per user and day, the value before that day. It joins the
+    rows as one more row that sorts first, which spares a real join.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = -(-4 * parts // max(days, 1))  # some cells per task, so that tasks even out
+    cell = F.pmod(F.xxhash64("user_key"), F.lit(cells))
+    both = (rows.withColumn("_reading", F.lit(True))
+            .unionByName(before.withColumn("_reading", F.lit(False)), allowMissingColumns=True)
+            .withColumn("_cell", cell).repartition("event_date", "_cell"))
+    user_day = ["event_date", "_cell", "user_key"]
+    order = Window.partitionBy(*user_day).orderBy("_reading", "event_timestamp", "event_id")
+    group = Window.partitionBy(*user_day, "activity_id", "_reading")
+    return (both.withColumn("previous_heart_rate", F.lag("heart_rate").over(order))
+            .withColumns({name: c.over(group) for name, c in daily_stats().items()})
+            .filter("_reading").drop("_reading", "_cell"))
+
+
+def fact_by_day(hr: DataFrame, last: DataFrame, since: datetime.date | None = None,
+                hot: Hot | None = None) -> DataFrame:
+    """The fact of the readings in ``hr``, ready to be written by day.
+
+    ``last`` has each user's last reading of each day (``silver.last_readings``)
+    over all days, also those before ``since``, from which day on ``hr`` starts.
+    """
+    hot = hot_keys(hr, "user_id") if hot is None else hot
+    day = F.to_date("event_timestamp").alias("event_date")
+    # A user's days, one row each: a number the calendar bounds.
+    earlier = Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")
+    before = last.select(F.col("user_id").alias("user_key"), day, F.lag("heart_rate").over(earlier).alias("heart_rate"))
+    if since:
+        before = before.filter(F.col("event_date") >= F.lit(since))
+    days = before.select("event_date").distinct().count()
+    rows = hr.withColumnRenamed("user_id", "user_key").withColumn("event_date", day)
+    cold, _ = split_by_keys(rows, "user_key", hot.keys)
+    cold_before, _ = split_by_keys(before, "user_key", hot.keys)
+    fact = (_laid_out_by_day(cold, cold_before, days)
+            .withColumn("event_time", time_of_day(F.col("event_timestamp"))).select(*FCT_HEART_RATE.names))
+    if not hot:
+        return fact
+    _, hot_rows = split_by_keys(hr, "user_id", hot.keys)
+    if since:
+        _, hot_last = split_by_keys(last, "user_id", hot.keys)
+        newest = F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r")
+        carried = (hot_last.filter(F.to_date("event_timestamp") < F.lit(since))
+                   .groupBy("user_id").agg(newest).select("user_id", "r.*"))
+        hot_rows = hot_rows.unionByName(carried, allowMissingColumns=True)
+    hot_fact = fct_heart_rate(hot_rows, hot)
+    if since:
+        hot_fact = hot_fact.filter(F.col("event_date") >= F.lit(since))
+    return fact.unionByName(hot_fact.hint("rebalance", F.col("event_date")))
+
+
 # Star joins -------------------------------------------------------------------
 # All keep every reading. The date and time dimensions have a proven size (days
 # of the calendar, minutes of a day) and are broadcast. Activities are broadcast

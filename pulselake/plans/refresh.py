@@ -86,9 +86,17 @@ def check_gold(lake: Lake) -> list:
     ])
 
 
-def build_gold(lake: Lake, hot: Hot | None = None) -> None:
-    hr = lake.read("silver", "heart_rate_cleaned")
-    lake.write(gold.fct_heart_rate(hr, hot), "gold", "fct_heart_rate")
+def build_gold(lake: Lake, since: datetime.date | None = None, hot: Hot | None = None) -> None:
+    """The fact, or just its days from ``since`` on.
+
+    A reading's previous value depends on earlier readings only, so days before
+    ``since`` stand. What they contribute is each user's last reading, found in
+    the small table of last readings instead of the history itself.
+    """
+    days = f"event_day >= date'{since}'" if since else None
+    fact = gold.fact_by_day(lake.read("silver", "heart_rate_cleaned", where=days),
+                            lake.read("silver", "last_readings"), since, hot)
+    lake.write(fact, "gold", "fct_heart_rate", only_partitions=bool(since), laid_out=True)
 
 
 def full_refresh(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
@@ -123,23 +131,6 @@ def append_silver(lake: Lake, raw: DataFrame, since: datetime.date) -> None:
     lake.write(silver.last_readings(days), "silver", "last_readings", only_partitions=True)
 
 
-def refresh_gold_since(lake: Lake, since: datetime.date, hot: Hot | None = None) -> None:
-    """Recompute the fact from day ``since`` on and replace just those days.
-
-    A reading's previous value depends on earlier readings only, so days before
-    ``since`` stand. What they contribute is each user's last reading, found in
-    the small table of last readings instead of the history itself.
-    """
-    newer = lake.read("silver", "heart_rate_cleaned", where=f"event_day >= date'{since}'")
-    before = lake.read("silver", "last_readings", where=f"event_day < date'{since}'")
-    last = (before.groupBy("user_id")
-            .agg(F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r"))
-            .select("user_id", "r.*"))
-    rows = gold.fct_heart_rate(newer.unionByName(last, allowMissingColumns=True), hot)
-    lake.write(rows.filter(F.col("event_date") >= F.lit(since)), "gold", "fct_heart_rate",
-               only_partitions=True)
-
-
 def incremental_refresh(lake: Lake, since: datetime.date,
                         arrived_since: datetime.date | None = None) -> None:
     """Bring silver and gold up to date with the bronze readings dated ``since``
@@ -150,5 +141,5 @@ def incremental_refresh(lake: Lake, since: datetime.date,
     raw = lake.read("bronze", "heartrate_stream", where=arrived).filter(F.col("timestamp") >= first_second)
     append_silver(lake, raw, since)
     check_silver(lake)
-    refresh_gold_since(lake, since)
+    build_gold(lake, since)
     check_gold(lake)

@@ -94,17 +94,18 @@ class Lake:
         return df.select(*t.schema.names)
 
     def write(self, df: DataFrame, layer: str, key: str, mode: str = "overwrite",
-              only_partitions: bool = False) -> None:
+              only_partitions: bool = False, laid_out: bool = False) -> None:
         """Write a frame that matches the table's contract.
 
-        ``only_partitions`` replaces just the partitions present in ``df``.
+        ``only_partitions`` replaces just the partitions present in ``df``;
+        ``laid_out`` says that its rows are gathered by partition already.
         """
         t = self.table(layer, key)
         df = schemas.check_contract(df, t.schema, f"{layer}.{key}")
         overwrite = "dynamic" if only_partitions else "static"
         for name, expression in t.partition.items():
             df = df.withColumn(name, F.expr(expression))
-        if t.partition:
+        if t.partition and not laid_out:
             # Rebalance gives each partition value to few tasks, yet splits a
             # large one at the advisory size: no small-file burst, no hot task.
             df = df.hint("rebalance", *[F.col(name) for name in t.partition])

@@ -83,16 +83,29 @@ def test_incremental_equals_full(spark, path, hot):
     everything = events(spark, [1, 2, 3]).union(events(spark, [2], start=5000))
     lake = bronze(spark, path, events(spark, [1, 2]))
     refresh.build_silver(lake)
-    refresh.build_gold(lake, hot)
+    refresh.build_gold(lake, hot=hot)
     before = os.listdir(path + "/gold/fct_heart_rate/event_date=2024-01-01")
     refresh.append_silver(lake, everything, DAY)  # days 2 and 3 arrive, 2 in part again
-    refresh.refresh_gold_since(lake, DAY, hot)
+    refresh.build_gold(lake, DAY, hot)
     want = gold.fct_heart_rate(silver.heart_rate(everything), Hot())
     assert tuple(differing_rows(lake.read("gold", "fct_heart_rate"), want).first()) == (80, 80, 0)
     # Days before the cut are left as they were.
     assert os.listdir(path + "/gold/fct_heart_rate/event_date=2024-01-01") == before
 
 
+@pytest.mark.parametrize("hot", [Hot(), Hot([10001, 10003], 1)])
+def test_fact_by_day_equals_fact_and_shuffles_readings_once(spark, hot):
+    hr = silver.heart_rate(events(spark, [1, 2, 5]).union(raw_events(spark, [
+        (900, 10001, None, "2024-01-02T23:59:59", "{"), (901, 10001, 99, "2024-01-05T00:00:00", "{"),
+        (902, 10001, 98, "2024-01-05T00:00:00", meta())])))
+    fact = gold.fact_by_day(hr, silver.last_readings(hr), hot=hot)
+    if not hot:
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_COL") == 1
+        assert plan.count("Exchange hashpartitioning") == 3  # two of them move user-days only
+    assert rows(fact) == rows(gold.fct_heart_rate(hr, Hot()))
+
+
 def test_the_fact_has_a_row_per_reading_whatever_the_dimensions_hold(spark):
     hr = silver.heart_rate(events(spark, [1]))
     users = raw_users(spark, [{"userid": 10001}, {"userid": 10001, "weight": 61}, {"userid": 77}])
