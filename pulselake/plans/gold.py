@@ -48,19 +48,32 @@ def fct_heart_rate(hr: DataFrame, hot: Hot | None = None) -> DataFrame:
     return fact_rows(hr, hot).select(*FCT_HEART_RATE.names)
 
 
-def _laid_out_by_day(rows: DataFrame, before: DataFrame, days: int) -> DataFrame:
+def cells_by_day(rows: DataFrame) -> DataFrame:
+    """(event_date, cells): how many shares to cut each day into, in proportion
+    to its readings, so that no day weighs on few tasks however much it holds.
+
+    A day has a row here, so the calendar bounds both the collected counts and
+    the broadcast."""
+    wanted = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["n"] for r in counts)
+    return rows.sparkSession.createDataFrame(
+        [(r["event_date"], -(-wanted * r["n"] // total)) for r in counts], "event_date date, _cells long")
+
+
+def _laid_out_by_day(rows: DataFrame, before: DataFrame) -> DataFrame:
     """Previous value and statistics with one shuffle that also suits a write by
     day: rows are gathered by day and by cell, a share of the users.
 
     ``before`` holds, per user and day, the value before that day. It joins the
     rows as one more row that sorts first, which spares a real join.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = -(-4 * parts // max(days, 1))  # some cells per task, so that tasks even out
-    cell = F.pmod(F.xxhash64("user_key"), F.lit(cells))
+    cells = F.broadcast(cells_by_day(rows).withColumnRenamed("event_date", "_day"))
+    cell = F.pmod(F.xxhash64("user_key"), F.coalesce("_cells", F.lit(1)))
     both = (rows.withColumn("_reading", F.lit(True))
             .unionByName(before.withColumn("_reading", F.lit(False)), allowMissingColumns=True)
-            .withColumn("_cell", cell).repartition("event_date", "_cell"))
+            .join(cells, F.col("event_date").eqNullSafe(F.col("_day")), "left")
+            .withColumn("_cell", cell).drop("_cells", "_day").repartition("event_date", "_cell"))
     user_day = ["event_date", "_cell", "user_key"]
     order = Window.partitionBy(*user_day).orderBy("_reading", "event_timestamp", "event_id")
     group = Window.partitionBy(*user_day, "activity_id", "_reading")
@@ -83,11 +96,10 @@ def fact_by_day(hr: DataFrame, last: DataFrame, since: datetime.date | None = No
     before = last.select(F.col("user_id").alias("user_key"), day, F.lag("heart_rate").over(earlier).alias("heart_rate"))
     if since:
         before = before.filter(F.col("event_date") >= F.lit(since))
-    days = before.select("event_date").distinct().count()
     rows = hr.withColumnRenamed("user_id", "user_key").withColumn("event_date", day)
     cold, _ = split_by_keys(rows, "user_key", hot.keys)
     cold_before, _ = split_by_keys(before, "user_key", hot.keys)
-    fact = (_laid_out_by_day(cold, cold_before, days)
+    fact = (_laid_out_by_day(cold, cold_before)
             .withColumn("event_time", time_of_day(F.col("event_timestamp"))).select(*FCT_HEART_RATE.names))
     if not hot:
         return fact

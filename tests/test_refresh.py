@@ -106,6 +106,23 @@ def test_fact_by_day_equals_fact_and_shuffles_readings_once(spark, hot):
     assert rows(fact) == rows(gold.fct_heart_rate(hr, Hot()))
 
 
+def test_a_heavy_day_is_cut_into_more_cells(spark):
+    rows = [(1, "2024-01-01")] * 90 + [(1, "2024-01-02")] * 9 + [(1, None)]
+    df = spark.createDataFrame(rows, "k long, d string").select(F.col("d").cast("date").alias("event_date"))
+    cells = {str(r.event_date): r._cells for r in gold.cells_by_day(df).collect()}
+    assert cells == {"2024-01-01": 15, "2024-01-02": 2, "None": 1}  # of 4 x 4 wanted
+    assert gold.cells_by_day(df.limit(0)).count() == 0
+
+
+def test_fact_by_day_of_no_or_timeless_readings(spark):
+    hr = silver.heart_rate(raw_events(spark, [
+        (1, 1, 70, None, meta()), (2, 1, 71, "2024-01-02T00:00:00", meta()), (3, 2, 60, None, meta())]))
+    want = rows(gold.fct_heart_rate(hr, Hot()))
+    assert rows(gold.fact_by_day(hr, silver.last_readings(hr), hot=Hot())) == want
+    none = hr.limit(0)
+    assert gold.fact_by_day(none, silver.last_readings(none), hot=Hot()).count() == 0
+
+
 def test_the_fact_has_a_row_per_reading_whatever_the_dimensions_hold(spark):
     hr = silver.heart_rate(events(spark, [1]))
     users = raw_users(spark, [{"userid": 10001}, {"userid": 10001, "weight": 61}, {"userid": 77}])
