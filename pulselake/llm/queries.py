@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pulselake.llm.decontamination import report
+from pulselake.llm.line_dedup import dedup_lines
+from pulselake.llm.mixing import mix
 from pulselake.llm.sharding import shard
 
 
@@ -11,12 +15,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24).drop("text")
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
+    "op4_mixing": op4_mixing,
+    "op6_decontamination": op6_decontamination,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE = {
+    "op3_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, i, split[i] AS line,
+                   translate(regexp_replace(regexp_replace(split[i], '^[\\x20\\x09-\\x0D]+', ''),
+                                            '[\\x20\\x09-\\x0D]+$', ''), '{_UPPER}', '{_LOWER}') AS key
+            FROM (SELECT doc_id, split, unnest(generate_series(1, len(split))) AS i
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS split FROM documents))),
+        often AS (
+            SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (often.key IS NOT NULL) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (often.key IS NULL), '')) AS kept_sha256
+        FROM lines LEFT JOIN often USING (key) GROUP BY doc_id""",
+    "op6_decontamination": f"""
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        item AS (
+            SELECT item_id, w, least(len(w), 10) AS n FROM (
+                SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark)
+            WHERE len(w) > 0),
+        win AS (
+            SELECT DISTINCT item_id, n, w[i : i + n - 1] AS win
+            FROM (SELECT item_id, n, w, unnest(generate_series(1, len(w) - n + 1)) AS i FROM item)),
+        spot AS (
+            SELECT doc_id, i, n, w[i : i + n - 1] AS win
+            FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+                  FROM doc, (SELECT DISTINCT n FROM item) WHERE len(w) >= n)),
+        hit AS (SELECT doc_id, i, spot.n, item_id FROM spot JOIN win ON spot.n = win.n AND spot.win = win.win),
+        covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hit) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}

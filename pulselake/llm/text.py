@@ -18,16 +18,22 @@ def lower_ascii(c: Column) -> Column:
         F.translate(c, UPPER, LOWER))
 
 
-def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """(__id, __fp, __text, more): the row key and the text, whatever else ``docs`` has.
+def _row_key() -> list[Column]:
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias(ID), F.xxhash64("text").alias(FINGERPRINT)]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(__id, __fp, __text): the row key and the text, whatever else ``docs`` has.
 
     A null id becomes the least long, so it orders before every other id. Rows that
     agree in id and fingerprint of the text are interchangeable copies of one row.
     """
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias(ID),
-        F.xxhash64("text").alias(FINGERPRINT), F.col("text").cast("string").alias(TEXT),
-        *[F.col(m) for m in more])
+    return docs.select(*_row_key(), F.col("text").cast("string").alias(TEXT))
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(__id, __fp, row): the row key and all columns in one struct, so that no names clash."""
+    return docs.select(*_row_key(), F.struct(*docs.columns).alias("row"))
 
 
 def plain_id(c: str = ID) -> Column:
