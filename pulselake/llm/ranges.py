@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from itertools import accumulate
 from math import isqrt
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +25,10 @@ def range_index(key: Sequence[Column], splitters: Sequence[Sequence[int]]) -> Co
         return F.lit(0)
     m = isqrt(len(splitters)) + 1
 
-    def listed(part: Sequence[Sequence[int]]) -> Column:
-        return F.array(*[F.struct(*[F.lit(v).cast("long").alias(f"k{i}") for i, v in enumerate(s)]) for s in part])
+    def listed(part: Sequence[Sequence[int]]) -> Column:  # fields are named by their place
+        return F.arrays_zip(*[F.lit(np.array(column, dtype=np.int64)) for column in zip(*part)])
 
-    here = F.struct(*[k.cast("long").alias(f"k{i}") for i, k in enumerate(key)])
+    here = F.struct(*[k.cast("long").alias(str(i)) for i, k in enumerate(key)])
     coarse = (F.size(F.filter(listed(splitters[m - 1::m]), lambda s: s <= here)) * m
               if len(splitters) >= m else F.lit(0))
     return coarse + F.size(F.filter(F.slice(listed(splitters), coarse + 1, m - 1), lambda s: s <= here))
