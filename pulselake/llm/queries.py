@@ -9,6 +9,7 @@ from pulselake.llm.decontamination import report
 from pulselake.llm.line_dedup import dedup_lines
 from pulselake.llm.mixing import mix
 from pulselake.llm.sharding import shard
+from pulselake.llm.token_counts import count_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str, name: str = "byte_bpe_50k") -> DataFrame:
+    import public_tokenizers
+    out = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(f"{name}.json"),
+                       public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN)
+    return out.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24).drop("text")
 
@@ -40,6 +48,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op6_decontamination": op6_decontamination,
+    "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }
 
