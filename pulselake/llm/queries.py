@@ -10,6 +10,7 @@ from pulselake.llm.line_dedup import dedup_lines
 from pulselake.llm.mixing import mix
 from pulselake.llm.sharding import shard
 from pulselake.llm.token_counts import count_tokens
+from pulselake.llm.toxicity import score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str, name: str = "byte_bpe_50k") -> DataFrame:
     import public_tokenizers
     out = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(f"{name}.json"),
@@ -48,6 +53,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
     "op10_sharding": op10_sharding,
 }
