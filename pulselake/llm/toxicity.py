@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from pulselake.llm.vectorized import BASE, LETTER, LOWER, blocks, hash_words, mix, words
 
-ORDERS = (4, 5, 6)  # bytes; below them the counts are shared
-SHARED = 3
+ORDERS = (2, 3, 4, 5, 6)  # bytes; all back off to counts of three bytes that the classes share
 DISCOUNT = 0.75
 LONGEST = 40  # bytes of a word that are scored
 FIT_DOCS, CALIBRATE_DOCS = 4000, 2000  # labelled rows of each class, at most
@@ -114,23 +113,26 @@ class Model:
                                             np.stack([seen, np.ones(len(seen))], 1)))
 
     def word_ratios(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """log P(word | toxic) - log P(word | ordinary), of bytes that have two before them."""
+        """log P(word | toxic) - log P(word | ordinary), the edge behind it included."""
         out = np.zeros(len(starts))
         for part in _by_length(starts, ends):
             m, length = _padded(data, starts[part], ends[part])
-            three = (m[:, :-2].astype(np.uint64) << np.uint64(16)) | (m[:, 1:-1].astype(np.uint64) << np.uint64(8)) | m[:, 2:]
-            used = np.arange(three.shape[1])[None, :] + SHARED <= length[:, None]
-            row, column = np.nonzero(used)
-            n = self.shared[mix(three[used])][:, 0]
-            c, t = self.shared_contexts[mix(three[used] >> np.uint64(8))].T
-            p = (np.maximum(n - DISCOUNT, 0) + (DISCOUNT * t + 1e-3) / 256) / (c + 1e-3)
-            p = np.stack([p, p], 1).astype(float)  # of the byte two columns on
+            row, column = np.nonzero(np.arange(m.shape[1] - 1)[None, :] + 1 < length[:, None])
+            column += 1
+            p = np.full(len(row), 1 / 256)
+            far = np.flatnonzero(column >= 2)
+            r, j = row[far], column[far]
+            two = (m[r, j - 2].astype(np.uint64) << np.uint64(8)) | m[r, j - 1]
+            n = self.shared[mix((two << np.uint64(8)) | m[r, j])][:, 0]
+            c, t = self.shared_contexts[mix(two)].T
+            p[far] = (np.maximum(n - DISCOUNT, 0) + (DISCOUNT * t + 1e-3) / 256) / (c + 1e-3)
+            p = np.stack([p, p], 1)
             for order in ORDERS:
                 whole, context, _ = _grams(m, length, order)
-                here = np.flatnonzero(column >= order - SHARED)
+                here = np.flatnonzero(column >= order - 1)
                 if not len(here):
                     break
-                spot = row[here], column[here] - (order - SHARED)
+                spot = row[here], column[here] - (order - 1)
                 n, c = self.grams[order][whole[spot]], self.contexts[order][context[spot]]
                 c, t = c[:, :2], c[:, 2:]
                 higher = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * t * p[here]) / np.maximum(c, 1e-9)

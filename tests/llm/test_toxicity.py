@@ -40,9 +40,9 @@ def plain_ratio(word, vocabulary, counts, trigrams):
                             n[p[i:i + order]] += 1
             by[order] = n
         tables.append(by)
-    for i in range(2, len(w)):
+    for i in range(1, len(w)):
         g = (w[i - 2] << 16) | (w[i - 1] << 8) | w[i]
-        base = (max(three[g] - DISCOUNT, 0) + (DISCOUNT * kinds[g >> 8] + 1e-3) / 256) / (two[g >> 8] + 1e-3)
+        base = 1 / 256 if i == 1 else (max(three[g] - DISCOUNT, 0) + (DISCOUNT * kinds[g >> 8] + 1e-3) / 256) / (two[g >> 8] + 1e-3)
         for c in (0, 1):
             p = base
             for order in ORDERS:
