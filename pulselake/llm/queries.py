@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulselake.llm import hyperminhash
 from pulselake.llm.decontamination import report
 from pulselake.llm.line_dedup import dedup_lines
 from pulselake.llm.mixing import mix
@@ -45,6 +46,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str, name: str = "byte_bpe_50k
     return out.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.report(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24).drop("text")
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
+    "op9_hyperminhash": op9_hyperminhash,
     "op10_sharding": op10_sharding,
 }
 

@@ -90,10 +90,10 @@ def gram_hashes(units: np.ndarray, size: int) -> np.ndarray:
     """
     if len(units) < size:
         return np.zeros(0, np.uint64)
-    h, width, power = units.astype(np.uint64), 1, BASE
+    h, width, power = units.astype(np.uint64), 1, int(BASE)
     while 2 * width <= size:
-        h = h[:-width] * power + h[width:]
-        power, width = power * power, 2 * width
+        h = h[:-width] * np.uint64(power) + h[width:]
+        power, width = power * power % (1 << 64), 2 * width
     if width < size:
-        h = mix(h[:len(h) - (size - width)]) + h[size - width:] * power
+        h = mix(h[:len(h) - (size - width)]) + h[size - width:] * np.uint64(power)
     return mix(h)
