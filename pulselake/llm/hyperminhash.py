@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.llm.components import components, staged
+from pulselake.llm.grouped import block_pairs, groups
 from pulselake.llm.text import FINGERPRINT, ID, NULL_ID, TEXT, keyed, plain_id
 from pulselake.llm.vectorized import BLANK, LOWER, blocks, gram_hashes, hash_words, mix, words
 
@@ -135,57 +136,27 @@ def _between(members: DataFrame, least: float) -> DataFrame:
     A large bucket is cut into blocks, which meet two by two in tasks of their own; only
     pairs that pass the estimate leave a task.
     """
+    def pairs(group: pa.Table) -> set:
+        side, n = (group[c].to_numpy() for c in ("side", "n"))
+        r = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        component = np.array([(c["id"], c["h"]) for c in group["component"].to_pylist()])
+        nodes = [(x["id"], x["h"]) for x in group["node"].to_pylist()]
+        right, out = np.flatnonzero(side != 1), set()
+        for i in np.flatnonzero(side != 2):
+            j = right[(component[right] != component[i]).any(1)]
+            for k in j[estimate(r[i][None], r[j], n[i], n[j]) >= least]:
+                out.add((max(nodes[i], nodes[k]), min(nodes[i], nodes[k])))
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(group: list[pa.RecordBatch]):
-            t = pa.Table.from_batches(group)
-            side = np.asarray(t["side"].combine_chunks())
-            r = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            n = np.asarray(t["n"].combine_chunks())
-            comp = np.array([(c["id"], c["h"]) for c in t["component"].to_pylist()])
-            nodes = [(x["id"], x["h"]) for x in t["node"].to_pylist()]
-            right = np.flatnonzero(side != 1)
-            for i in np.flatnonzero(side != 2):
-                j = right[(comp[right] != comp[i]).any(1)]
-                j = j[estimate(r[i][None], r[j], n[i], n[j]) >= least] if len(j) else j
-                for k in j:
-                    if nodes[i] != nodes[k]:
-                        yield max(nodes[i], nodes[k]), min(nodes[i], nodes[k])
-
-        for group in _groups(batches, ["key", "x", "y"]):
-            found = sorted(set(pairs(group)))
+        kind = pa.struct([("id", pa.int64()), ("h", pa.int64())])
+        for group in groups(batches, ["key", "x", "y"]):
+            found = sorted(pairs(group))
             if found:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([{"id": p[s][0], "h": p[s][1]} for p in found],
-                              pa.struct([("id", pa.int64()), ("h", pa.int64())])) for s in (0, 1)], ["a", "b"])
-
-    crowd = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    cut = (members.join(crowd, "key")
-           .withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-           .withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"),
-                   F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1)
-                   .otherwise(2).alias("side"), "node", "n", "registers", "component"))
-    return (cut.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-            .mapInArrow(run, f"a {NODE}, b {NODE}").distinct())
-
-
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[list[pa.RecordBatch]]:
-    """Rows with equal ``by`` of a sorted stream."""
-    held, last = [], None
-    for rows in batches:
-        if not len(rows):
-            continue
-        keys = np.stack([np.asarray(rows.column(b)).astype(np.int64) for b in by], 1)
-        cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]])
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if held and tuple(keys[a]) != last:
-                yield held
-                held = []
-            held.append(rows.slice(a, b - a))
-            last = tuple(keys[a])
-    if held:
-        yield held
+                    [pa.array([{"id": p[s][0], "h": p[s][1]} for p in found], kind) for s in (0, 1)], ["a", "b"])
+
+    return block_pairs(members, ["key"], BLOCK).mapInArrow(run, f"a {NODE}, b {NODE}").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -218,8 +189,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .select("node", F.col("node.id").alias(ID), FINGERPRINT), [ID, FINGERPRINT])
         .dropDuplicates(["node"]).select("node", TEXT), "texts")
     links = staged(_verified(stars, texts, size, percent), "verified")
-    groups = staged(components(links), "groups")
-    labelled = (suspects.join(groups, "node", "left")
+    classes = staged(components(links), "classes")
+    labelled = (suspects.join(classes, "node", "left")
                 .select("key", "node", F.coalesce("component", "node").alias("component")))
     mixed = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo != hi").select("key"))
@@ -227,8 +198,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "rest")
     more = staged(_verified(rest, texts, size, percent), "verified")
     if not more.isEmpty():
-        groups = components(links.unionByName(more))
-    found = sets.join(groups, "node", "left").select(
+        classes = components(links.unionByName(more))
+    found = sets.join(classes, "node", "left").select(
         F.col("node.h").alias("h1"), "h2", "n", F.coalesce(F.col("component.id"), F.col("node.id")).alias("component"))
     return sketched.join(found, ["h1", "h2", "n"], "left").select(
         ID, FINGERPRINT, F.col("n").alias("n_shingles"), "component")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import hyperminhash
+from pulselake.llm import cap_filters, hyperminhash
 from pulselake.llm.decontamination import report
 from pulselake.llm.line_dedup import dedup_lines
 from pulselake.llm.mixing import mix
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped",
@@ -55,6 +59,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_cap_filters": op2_cap_filters,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
     "op6_decontamination": op6_decontamination,
