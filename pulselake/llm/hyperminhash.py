@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pulselake.llm.components import components, staged
 from pulselake.llm.grouped import block_pairs, groups
-from pulselake.llm.text import FINGERPRINT, ID, NULL_ID, TEXT, keyed, plain_id
+from pulselake.llm.text import FINGERPRINT, ID, NULL_ID, TEXT, keyed, plain_id, whole_rows
 from pulselake.llm.vectorized import BLANK, LOWER, blocks, gram_hashes, hash_words, mix, words
 
 REGISTERS, BAND = 80, 4  # 20 bands: a pair at 0.8 shares none in 3 of 100,000 cases
@@ -160,7 +160,7 @@ def _between(members: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(__id, __fp, n_shingles, component): per row of ``docs`` its set's size and class.
+    """(__id, __fp, n_shingles, component, class): per row of ``docs`` its set's size and class.
 
     A row's set holds the distinct runs of ``size`` lower-cased words of its text, or all its
     words as one if they are fewer; without words it is empty and linked with nothing. Rows
@@ -200,9 +200,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     if not more.isEmpty():
         classes = components(links.unionByName(more))
     found = sets.join(classes, "node", "left").select(
-        F.col("node.h").alias("h1"), "h2", "n", F.coalesce(F.col("component.id"), F.col("node.id")).alias("component"))
+        F.col("node.h").alias("h1"), "h2", "n", F.coalesce("component", "node").alias("class"))
     return sketched.join(found, ["h1", "h2", "n"], "left").select(
-        ID, FINGERPRINT, F.col("n").alias("n_shingles"), "component")
+        ID, FINGERPRINT, F.col("n").alias("n_shingles"), F.col("class.id").alias("component"), "class")
 
 
 def report(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -211,3 +211,17 @@ def report(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     component = F.coalesce("component", ID)
     return found.select(plain_id(), "n_shingles", F.when(component != F.lit(NULL_ID), component).alias("component_id"),
                         (F.col(ID) == component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are first, by id and fingerprint, in their class; columns unchanged.
+
+    Texts without words are in no class: they stay, repeated rows of them once.
+    """
+    found = near_duplicates(docs, size, percent)
+    row = F.struct(ID, FINGERPRINT)
+    firsts = (found.filter("component IS NOT NULL").groupBy("class").agg(F.min(row).alias("first"))
+              .select("first.*"))
+    alone = found.filter("component IS NULL").select(ID, FINGERPRINT).distinct()
+    return (whole_rows(docs).join(firsts.unionByName(alone), [ID, FINGERPRINT])
+            .groupBy(ID, FINGERPRINT).agg(F.first("row").alias("row")).select("row.*"))

@@ -76,8 +76,8 @@ def source_counts(docs: DataFrame) -> dict:
     return {r["source"]: r["count"] for r in rows}
 
 
-def mix(docs: DataFrame, weights: Mapping | None = None, ceiling: float = 0.3, block: int = 16,
-        frame: int = 1000, ranges: int = 256) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping | None = None, ceiling: float = 1 / 3, block: int = 8,
+        frame: int = 10_000, ranges: int = 256) -> DataFrame:
     """Every row of ``docs`` with block, release, deadline, position and in_mix.
 
     ``weights`` gives the target weight of each source (null is a source too); without

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pulselake.llm.vectorized import BASE, LETTER, LOWER, blocks, hash_words, mix, words
 
@@ -286,8 +287,19 @@ def features(docs: DataFrame, model: Model) -> DataFrame:
             x = scorer.features(data, offsets)
             yield pa.RecordBatch.from_arrays([*rows.columns[1:], *[pa.array(v) for v in x.T]], [*kept, "a", "b", "c"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[1:])
-    return docs.mapInArrow(run, f"{fields}, a double, b double, c double")
+    added = [StructField(name, DoubleType()) for name in "abc"]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields[1:], *added]))
+
+
+def _scored(rows: DataFrame, docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """``rows`` (text first) with a score in the text's place, by a model trained on ``docs``."""
+    model, weights = train(docs, labels, **how)
+    if model is None:
+        return rows.select(*rows.columns[1:], F.lit(weights).alias("score"))
+    w = [float(v) for v in weights]
+    z = (F.lit(w[0]) + w[1] * F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col("a")))
+         + w[2] * F.log(F.col("b") + 0.003) + w[3] * F.col("c") / 4)
+    return features(rows, model).select(*rows.columns[1:], (1 / (1 + F.exp(-z))).alias("score"))
 
 
 def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
@@ -299,14 +311,13 @@ def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     the score of no evidence. Labels are taken from rows that are not held out. Without
     labels of both classes the score is constant. Repeated rows each get their line.
     """
-    model, weights = train(docs, labels, **how)
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    if model is None:
-        scored = rows.select("doc_id", F.lit(weights).alias("score"))
-    else:
-        w = [float(v) for v in weights]
-        z = (F.lit(w[0]) + w[1] * F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col("a")))
-             + w[2] * F.log(F.col("b") + 0.003) + w[3] * F.col("c") / 4)
-        scored = features(rows, model).select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    scored = _scored(docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")),
+                     docs, labels, **how)
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, all columns unchanged."""
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*docs.columns).alias("row"))
+    return _scored(rows, docs, labels, **how).filter("score < 0.5").select("row.*")
