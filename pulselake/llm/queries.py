@@ -9,7 +9,9 @@ from pulselake.llm import cap_filters, hyperminhash
 from pulselake.llm.decontamination import report
 from pulselake.llm.line_dedup import dedup_lines
 from pulselake.llm.mixing import mix
+from pulselake.llm.phrase_dedup import remove_repeated_phrases
 from pulselake.llm.sharding import shard
+from pulselake.llm.suffix_dedup import remove_repeated_bytes
 from pulselake.llm.token_counts import count_tokens
 from pulselake.llm.toxicity import score
 
@@ -18,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"), window=100)
+    return out.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -32,6 +40,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
 
 
+def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_phrases(table(spark, sf_dir, "documents"), window=13)
+    return out.select("doc_id", F.col("n_units").alias("n_words"), "n_removed",
+                      F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -59,9 +73,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_cap_filters": op2_cap_filters,
     "op3_line_dedup": op3_line_dedup,
     "op4_mixing": op4_mixing,
+    "op5_phrase_dedup": op5_phrase_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op8_token_counts": op8_token_counts,
