@@ -127,4 +127,61 @@ ORACLE = {
                coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op2_cap_filters": """
+        WITH vec AS MATERIALIZED (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link AS MATERIALIZED (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (
+            WITH RECURSIVE r(node, other) AS (
+                SELECT vec_id, vec_id FROM embeddings
+                UNION SELECT r.node, link.b FROM r JOIN link ON r.other = link.a)
+            SELECT node, min(other) AS component_id FROM r GROUP BY node)
+        SELECT e.vec_id, (SELECT count(*) FROM link WHERE link.a = e.vec_id) AS n_links, component_id,
+               e.vec_id = component_id AS kept
+        FROM embeddings e JOIN reach ON e.vec_id = reach.node""",
+    "op5_phrase_dedup": r"""
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (
+            SELECT doc_id, i, w[i : i + 12] AS g
+            FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM doc)),
+        low AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS p
+            FROM win JOIN low USING (g) WHERE least < doc_id),
+        each AS (SELECT doc_id, unnest(generate_series(1, len(w))) AS p, unnest(w) AS word FROM doc),
+        kept AS (
+            SELECT doc_id, count(gone.p) AS n_removed,
+                   string_agg(word, ' ' ORDER BY each.p) FILTER (gone.p IS NULL) AS rest
+            FROM each LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(rest, '')) AS kept_sha256
+        FROM doc LEFT JOIN kept USING (doc_id)""",
+    "op9_hyperminhash": rf"""
+        WITH doc AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingle AS MATERIALIZED (
+            SELECT DISTINCT doc_id, w[i] || ' ' || coalesce(w[i + 1], '') AS s
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 1, least(len(w), 1)))) AS i FROM doc)),
+        size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        link AS MATERIALIZED (
+            SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+            WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)),
+        reach AS (
+            WITH RECURSIVE r(node, other) AS (
+                SELECT doc_id, doc_id FROM documents
+                UNION SELECT r.node, e.b FROM r JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) e ON r.other = e.a)
+            SELECT node, min(other) AS component_id FROM r GROUP BY node)
+        SELECT doc.doc_id, coalesce(size.n, 0) AS n_shingles, component_id, doc.doc_id = component_id AS kept
+        FROM doc LEFT JOIN size USING (doc_id) JOIN reach ON doc.doc_id = reach.node""",
 }
