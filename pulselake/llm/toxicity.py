@@ -15,7 +15,7 @@ from pulselake.llm.vectorized import BASE, LETTER, LOWER, blocks, hash_words, mi
 ORDERS = (2, 3, 4, 5, 6)  # bytes; all back off to counts of three bytes that the classes share
 DISCOUNT = 0.75
 LONGEST = 40  # bytes of a word that are scored
-FIT_DOCS, CALIBRATE_DOCS = 4000, 2000  # labelled rows of each class, at most
+FIT_DOCS, CALIBRATE_DOCS = 2000, 1500  # labelled rows of each class, at most
 CACHE_WORDS = 1 << 20
 EDGE = 0x20  # stands before and after each word
 
@@ -95,16 +95,21 @@ class Model:
             found = []
             for part, m, length in parts:
                 whole, context, valid = _grams(m, length, order)
-                # Below the top order a gram counts once for each byte before it (the
-                # continuation count); the first gram of a word has none and counts as one.
-                longer = np.zeros(valid.shape, np.uint64)
-                if order < max(ORDERS) and valid.shape[1] > 1:
-                    longer[:, 1:] = _grams(m, length, order + 1)[0]
-                row = np.nonzero(valid)[0]
-                found.append((whole[valid], context[valid], longer[valid], counts[part][row]))
-            whole, context, longer, n = (np.concatenate(x) for x in zip(*found))
-            if order < max(ORDERS):
-                n = np.stack([_first_marks(mix(whole) ^ longer, n[:, c] > 0) for c in (0, 1)], 1)
+                n = counts[part][np.nonzero(valid)[0]].astype(np.float32)
+                if order < max(ORDERS):
+                    # Below the top order a gram counts once for each byte before it (the
+                    # continuation count); the first gram of a word has none and counts as one.
+                    longer = np.zeros(valid.shape, np.uint64)
+                    if valid.shape[1] > 1:
+                        longer[:, 1:] = _grams(m, length, order + 1)[0]
+                    found.append((whole[valid], context[valid], n, longer[valid]))
+                else:
+                    found.append((whole[valid], context[valid], n))
+            whole, context, n, *longer = (np.concatenate(x) for x in zip(*found))
+            del found
+            if longer:
+                for c in (0, 1):
+                    n[:, c] = _first_marks(mix(whole) ^ longer[0], n[:, c] > 0)
             grams, at = np.unique(whole, return_index=True)
             n = _sums(whole, n)[1]
             self.grams[order] = Table(grams, n)
@@ -157,10 +162,11 @@ class Scorer:
         self.model, self.known, self.ratios = model, np.zeros(0, np.uint64), np.zeros(0)
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Per text: mean ratio of its words, mean positive part, log length."""
+        """Per text: mean ratio of its words, mean of what exceeds 3, log of their number (-1: none)."""
         lower = LOWER[data]
         starts, ends, first = words(lower, offsets, LETTER)
         out = np.zeros((len(offsets) - 1, 3))
+        out[:, 2] = -1
         if not len(starts):
             return out
         hashes, at, back = np.unique(hash_words(lower, starts, ends), return_index=True, return_inverse=True)
@@ -177,7 +183,7 @@ class Scorer:
         strong = np.concatenate([[0], np.cumsum(np.maximum(ratio - 3.0, 0))])
         out[:, 0] = (sums[first[1:]] - sums[first[:-1]]) / n
         out[:, 1] = (strong[first[1:]] - strong[first[:-1]]) / n
-        out[:, 2] = np.log(n)
+        out[:, 2] = np.where(np.diff(first) > 0, np.log(n), -1)
         return out
 
 
@@ -263,13 +269,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, calibrat
         chosen += [(i, kind, k < cut) for k, i in enumerate(ids)]
     sample = F.broadcast(spark.createDataFrame(chosen, "id long, toxic int, fit boolean"))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).join(sample, "id")
-    found = word_counts(texts.filter("fit")).collect()
-    counts = np.array([[r["ordinary"], r["toxic"]] for r in found], float).reshape(-1, 2)
+    found = word_counts(texts.filter("fit")).toArrow()
+    counts = np.stack([found[c].to_numpy() for c in ("ordinary", "toxic")], 1).astype(float)
     if not counts.sum(0).all():
         return None, float(bool(counts.sum()) and not counts[:, 0].any())
-    grams = shared_counts(docs).collect()
-    model = Model([bytes(r["word"]) for r in found], counts, np.array([r["gram"] for r in grams]),
-                  np.array([r["n"] for r in grams], float))
+    grams = shared_counts(docs).toArrow()
+    model = Model(found["word"].to_pylist(), counts, grams["gram"].to_numpy(), grams["n"].to_numpy().astype(float))
     rows = features(texts.filter("NOT fit").select("text", "toxic"), model).collect()
     if len({r["toxic"] for r in rows}) < 2:
         rows = features(texts.select("text", "toxic"), model).collect()
@@ -299,7 +304,7 @@ def _scored(rows: DataFrame, docs: DataFrame, labels: DataFrame, **how) -> DataF
     w = [float(v) for v in weights]
     z = (F.lit(w[0]) + w[1] * F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col("a")))
          + w[2] * F.log(F.col("b") + 0.003) + w[3] * F.col("c") / 4)
-    return features(rows, model).select(*rows.columns[1:], (1 / (1 + F.exp(-z))).alias("score"))
+    return features(rows, model).select(*rows.columns[1:], F.when(F.col("c") < 0, 0.0).otherwise(1 / (1 + F.exp(-z))).alias("score"))
 
 
 def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
@@ -307,8 +312,7 @@ def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
     score compares the length-normalised log-likelihoods of the text's words under a toxic
     and an ordinary Kneser-Ney model, over the letters of each word, so that rare words get
-    their probability from their parts; 1 if >= 0.5 is predicted. Empty and null texts get
-    the score of no evidence. Labels are taken from rows that are not held out. Without
+    their probability from their parts; 1 if >= 0.5 is predicted. Texts without words score 0. Labels are taken from rows that are not held out. Without
     labels of both classes the score is constant. Repeated rows each get their line.
     """
     scored = _scored(docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id")),
