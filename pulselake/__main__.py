@@ -1,7 +1,7 @@
 """Command line:
 
     python -m pulselake ingest --root R [--users CSV] [--activities CSV] [--events DIR --checkpoint C]
-    python -m pulselake refresh --root R [--since YYYY-MM-DD [--arrived-since YYYY-MM-DD]]
+    python -m pulselake refresh --root R [--since YYYY-MM-DD | --arrived-since YYYY-MM-DD]
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--activities")
     load.add_argument("--events")
     load.add_argument("--checkpoint")
+    load.add_argument("--look-back", help="leave out event files older than the newest loaded one by more, e.g. 3d")
     build = commands.add_parser("refresh", help="build silver and gold")
     build.add_argument("--since", type=datetime.date.fromisoformat,
                        help="only the days from this one on; without it, everything")
     build.add_argument("--arrived-since", type=datetime.date.fromisoformat,
-                       help="with --since: look only at readings that arrived from this day on")
+                       help="only the days of the readings that arrived from this day on")
     for command in (load, build):
         command.add_argument("--root", required=True)
         command.add_argument("--master")
@@ -41,8 +42,9 @@ def run(lake: Lake, args: argparse.Namespace) -> None:
         if args.activities:
             ingest.load_activities(lake, args.activities)
         if args.events:
-            ingest.load_events(lake, args.events, args.checkpoint or f"{lake.root}/checkpoints/events")
-    elif args.since:
+            ingest.load_events(lake, args.events, args.checkpoint or f"{lake.root}/checkpoints/events",
+                               args.look_back)
+    elif args.since or args.arrived_since:
         refresh.incremental_refresh(lake, args.since, args.arrived_since)
     else:
         refresh.full_refresh(lake)

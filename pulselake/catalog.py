@@ -80,7 +80,7 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_table(spark, sf_dir):
     lake = _lake(spark, "scan")
     lake.write(testdata.raw_users(spark, sf_dir), "bronze", "raw_users")
-    return lake.read("bronze", "raw_users").filter(F.col("height") >= 180).select("userid", "race", "height")
+    return lake.read("bronze", "raw_users")
 
 
 @query
@@ -153,7 +153,7 @@ def incremental_append(spark, sf_dir):
         _deliver(spark, sf_dir, f"{root}/in", second)
         for _ in range(2):  # the repeat finds no new file
             jobs.incremental_append(spark, f"{root}/in", f"{root}/table", f"{root}/checkpoint", with_id=True)
-    return spark.read.parquet(f"{root}/table").select("event_id", "user_id", "heart_rate", "timestamp")
+    return spark.read.parquet(f"{root}/table").select("event_id", "user_id", "heart_rate", "timestamp", "meta")
 
 
 @query
@@ -169,12 +169,15 @@ def decode_events(spark, sf_dir):
     return _naive(silver.heart_rate(good))
 
 
+LANDED = ("event_id bigint, user_id bigint, heart_rate bigint, timestamp bigint, meta string, year string,"
+          " month string, day string, hour string")
+
+
 @query
 def lake_sink_hourly(spark, sf_dir):
     path = shared_dir(spark, "lake")
     raw.write_lake(testdata.raw_heart_rate(spark, sf_dir), path)
-    return spark.read.schema("event_id bigint, user_id bigint, heart_rate bigint, year string,"
-                             " month string, day string, hour string").json(path)
+    return spark.read.schema(LANDED).json(path)
 
 
 # Cleaning ---------------------------------------------------------------------
@@ -228,6 +231,25 @@ def epoch_to_timestamp(spark, sf_dir):
         "event_id", "timestamp", at.alias("event_timestamp"), F.date_format(at, "HH:mm:ss").alias("event_time")))
 
 
+@query
+def epoch_out_of_range(spark, sf_dir):
+    """Epochs in seconds, in milliseconds and beyond any calendar: NULL instead of an error."""
+    seconds = F.col("timestamp")
+    wrong = (F.when(F.col("heart_rate") > 150, seconds * 1000)
+             .when(F.col("heart_rate") > 100, seconds * 1_000_000_000).otherwise(seconds))
+    return _naive(testdata.raw_heart_rate(spark, sf_dir).select("event_id", wrong.alias("timestamp")).select(
+        "event_id", "timestamp", clean.epoch_to_timestamp(F.col("timestamp")).alias("event_timestamp")))
+
+
+@query
+def dedup_conflicts(spark, sf_dir):
+    """Copies that differ: a whole record that was sent stays, the one of least values, NULL last."""
+    readings = _hr(spark, sf_dir)
+    other = readings.withColumns({"heart_rate": F.col("heart_rate") + 1, "latitude": F.lit(None).cast("double")})
+    third = readings.withColumns({"heart_rate": F.lit(None).cast("bigint"), "longitude": F.lit(-180.0)})
+    return _naive(keys.dedup_events(readings.unionByName(other).unionByName(third)))
+
+
 def _redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _hr(spark, sf_dir)
     again = readings.filter(F.col("heart_rate") >= 100)
@@ -277,30 +299,34 @@ def _reading_columns(df: DataFrame, *more: str) -> DataFrame:
     return df.select("event_id", "user_key", "heart_rate", *more)
 
 
+def _with_strangers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings, those of odd heart rates by users and of activities that no dimension has."""
+    odd = F.col("heart_rate") % 2 == 1
+    return gold.base(_hr(spark, sf_dir)).withColumns({
+        "user_key": F.when(odd, -F.col("user_key")).otherwise(F.col("user_key")),
+        "activity_id": F.when(odd, -F.col("activity_id")).otherwise(F.col("activity_id"))})
+
+
 @query
 def join_users(spark, sf_dir):
-    # Half of the user table, so that readings without a match appear.
-    known = _users(spark, sf_dir).filter(F.col("gender") == "F")
-    rows = gold.base(_hr(spark, sf_dir))
-    joined = gold.join_users(rows, known, ["gender", "address_country"], hot_keys(rows, "user_key"))
+    rows = _with_strangers(spark, sf_dir)
+    joined = gold.join_users(rows, _users(spark, sf_dir), ["gender", "address_country"], hot_keys(rows, "user_key"))
     return _reading_columns(joined, "gender", "address_country")
 
 
 @query
 def join_users_hot_split(spark, sf_dir):
     """The same with the busier users treated as hot."""
-    known = _users(spark, sf_dir).filter(F.col("gender") == "F")
-    rows = gold.base(_hr(spark, sf_dir))
+    rows = _with_strangers(spark, sf_dir)
     hot = hot_keys(rows, "user_key", min_rows=66, share=0.0001)
-    return _reading_columns(gold.join_users(rows, known, ["gender", "address_country"], hot),
+    return _reading_columns(gold.join_users(rows, _users(spark, sf_dir), ["gender", "address_country"], hot),
                             "gender", "address_country")
 
 
 @query
 def join_activities(spark, sf_dir):
-    rows = gold.base(_hr(spark, sf_dir))
-    known = _activities(spark, sf_dir).filter(F.col("activity_name") != "Sleep")
-    return _reading_columns(gold.join_activities(rows, known), "activity_name")
+    return _reading_columns(gold.join_activities(_with_strangers(spark, sf_dir), _activities(spark, sf_dir)),
+                            "activity_name")
 
 
 @query
@@ -516,8 +542,7 @@ def dq_accepted_values(spark, sf_dir):
 
 @query
 def dq_coverage(spark, sf_dir):
-    rows = _hr(spark, sf_dir).filter(F.col("heart_rate") > 100)
-    rows = rows.select(calendar.time_category(F.hour("event_timestamp")).alias("time_category"))
+    rows = _hr(spark, sf_dir).select(calendar.time_category(F.hour("event_timestamp")).alias("time_category"))
     return quality.coverage(rows, "time_category", [*calendar.CATEGORY_NAMES, "No Such Category"])
 
 
@@ -551,7 +576,13 @@ def dq_lag_continuity(spark, sf_dir):
 
 @query
 def dq_first_row_null(spark, sf_dir):
-    return quality.first_row_null(gold.fct_heart_rate(_hr(spark, sf_dir)))
+    """A fact in which first readings above 120 have a previous one and later ones above 200 lack it."""
+    was = F.col("previous_heart_rate")
+    rate = F.col("heart_rate")
+    fact = gold.fct_heart_rate(_hr(spark, sf_dir)).withColumn("previous_heart_rate", F.when(
+        was.isNull() & (rate > 120), F.lit(0)).when(was.isNotNull() & (rate <= 200), was).when(
+        was.isNull(), was))
+    return quality.first_row_null(fact)
 
 
 @query
@@ -602,29 +633,58 @@ def stream_flatten(spark, sf_dir):
 def stream_lake_sink(spark, sf_dir):
     root = shared_dir(spark, "lakesink")
     _in_two_runs(spark, sf_dir, root, lambda events: jobs.to_lake(events, f"{root}/out"))
-    return spark.read.schema("event_id bigint, user_id bigint, heart_rate bigint, year string,"
-                             " month string, day string, hour string").json(f"{root}/out")
+    return spark.read.schema(LANDED).json(f"{root}/out").drop("load")
 
 
 @query
 def stream_dedup(spark, sf_dir):
     root = shared_dir(spark, "dedup")
 
-    def writer(events: DataFrame) -> DataStreamWriter:
-        # The copies arrive up to a month of event time later.
-        return jobs.to_parquet(jobs.dedup(jobs.flatten(events), "31 days"), f"{root}/out")
-
-    _in_two_runs(spark, sf_dir, root, writer, copies=True)
-    return _naive(spark.read.parquet(f"{root}/out"))
+    lake = Lake(spark, f"{root}/lake")
+    _in_two_runs(spark, sf_dir, root, lambda events: jobs.dedup(jobs.flatten(events), lake), copies=True)
+    return _naive(lake.read("silver", "heart_rate_cleaned"))
 
 
 @query
 def stream_daily_stats(spark, sf_dir):
-    """Days that have closed: all but the last, which the watermark holds open."""
+    """Every day, the open one too; copies delivered again count once."""
     root = shared_dir(spark, "daily")
-    _in_two_runs(spark, sf_dir, root, lambda events: jobs.to_parquet(
-        jobs.daily_stats(jobs.flatten(events)), f"{root}/out"))
-    return spark.read.parquet(f"{root}/out")
+    lake = Lake(spark, f"{root}/lake")
+    _in_two_runs(spark, sf_dir, root, lambda events: jobs.daily_stats(
+        jobs.flatten(events), lake, f"{root}/out"), copies=True)
+    return spark.read.schema("user_id bigint, activity_id bigint, event_date date, max_heart_rate bigint,"
+                             " min_heart_rate bigint, avg_heart_rate double").parquet(f"{root}/out")
+
+
+@query
+def stream_late_reconciled(spark, sf_dir):
+    """The second delivery first, so that the first one is a month late: nothing is lost."""
+    root = shared_dir(spark, "late")
+    job = jobs.PreviousReading(spark, f"{root}/job", delay=3600)
+    done = None
+    for second in (True, False):
+        _deliver(spark, sf_dir, f"{root}/in", second)
+        events = raw.stream_jsonl(spark, f"{root}/in", with_id=True)
+        done = jobs.drain(job.writer(jobs.flatten(events)), f"{root}/checkpoint")
+    job.finish(done.lastProgress["batchId"])
+    return _naive(job.reconciled())
+
+
+@query
+def stream_malformed_kept(spark, sf_dir):
+    """Good records in the lake by event hour, the text of broken ones beside it."""
+    root = shared_dir(spark, "malformed")
+    events = testdata.raw_heart_rate(spark, sf_dir)
+    lines = raw.encode_events(events).withColumn("rate", F.get_json_object("value", "$.heart_rate").cast("bigint"))
+    broken = F.concat(F.lit('{"user_id": 7, broken '), F.col("rate").cast("string"))
+    lines.select(F.when(F.col("rate") > 180, broken).otherwise(F.col("value")).alias("value")).write.text(f"{root}/in")
+    jobs.drain(jobs.to_lake(raw.stream_jsonl(spark, f"{root}/in", with_id=True), f"{root}/lake"), f"{root}/checkpoint")
+    good = spark.read.schema(LANDED).json(f"{root}/lake").select(
+        F.lit("good").alias("status"), "event_id", "heart_rate", F.lit("").alias("record"))
+    bad = spark.read.text(f"{root}/lake-malformed").select(
+        F.lit("malformed").alias("status"), F.lit(None).cast("bigint").alias("event_id"),
+        F.lit(None).cast("bigint").alias("heart_rate"), F.col("value").alias("record"))
+    return good.unionByName(bad)
 
 
 def _streamed_previous(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
@@ -670,11 +730,18 @@ def medallion_refresh(spark, sf_dir):
 
 @query
 def incremental_refresh(spark, sf_dir):
-    """A refresh of the first delivery, then one of the days since."""
-    since = datetime.date.fromisoformat(SECOND_DELIVERY)
-    lake = _bronze(spark, sf_dir, "increment", before=SECOND_DELIVERY)
-    refresh.build_silver(lake)
-    refresh.build_gold(lake)
-    refresh.append_silver(lake, testdata.raw_heart_rate(spark, sf_dir), since)
-    refresh.build_gold(lake, since)
-    return lake.read("gold", "fct_heart_rate")
+    """A refresh without the second delivery, some late readings and some users, then the
+    increment of what arrived since."""
+    lake = _lake(spark, "increment")
+    events, users = testdata.raw_heart_rate(spark, sf_dir), testdata.raw_users(spark, sf_dir)
+    first = ((F.timestamp_seconds("timestamp") < F.lit(SECOND_DELIVERY).cast("timestamp"))
+             & (F.col("event_id") % 7 != 0))
+    lake.write(users.filter(F.col("userid") % 5 != 0), "bronze", "raw_users")
+    lake.write(testdata.raw_activities(spark, sf_dir), "bronze", "raw_activities")
+    lake.write(events.filter(first), "bronze", "heartrate_stream")
+    refresh.full_refresh(lake)
+    lake.write(users, "bronze", "raw_users")
+    lake.write(events.filter(~first), "bronze", "heartrate_stream", mode="append")
+    refresh.incremental_refresh(lake, arrived_since=datetime.date.today() - datetime.timedelta(days=1))
+    known = lake.read("gold", "dim_users").select(F.col("user_id").alias("user_key"), "gender")
+    return lake.read("gold", "fct_heart_rate").join(known, "user_key", "left")

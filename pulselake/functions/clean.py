@@ -20,8 +20,13 @@ def as_date(value: Column) -> Column:
     return value.try_cast("date")
 
 
+# Seconds of 0001-01-01T00:00:00Z and 9999-12-31T23:59:59Z. An epoch in milliseconds is beyond.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
 def epoch_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """TIMESTAMP of an epoch in seconds; NULL outside the calendar's years 1 to 9999."""
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
 def parse_meta(text: Column) -> Column:

@@ -12,13 +12,25 @@ def dedup_events(df: DataFrame, key: list[str] | None = None) -> DataFrame:
     """One row per event. Copies collapse map-side, so a group of any size is
     down to one row per task before the shuffle.
 
-    Copies that differ are merged column by column to the least known value: a
-    result that depends neither on arrival order nor on which task ran again,
-    and that a hash aggregate can keep in primitive buffers.
+    Of copies that differ one whole record stays, the least by its columns in order
+    with NULL after any value: it does not depend on arrival order or on which
+    task ran again, and it is a record that was sent.
     """
     key = key or EVENT_KEY
     rest = [c for c in df.columns if c not in key]
-    return df.groupBy(*key).agg(*[F.min(c).alias(c) for c in rest]).select(*df.columns)
+    ranked = [x for c in rest for x in (F.col(c).isNull().alias(f"_{c}_null"), F.col(c))]
+    if not rest:
+        return df.select(*key).distinct()
+    return df.groupBy(*key).agg(F.min(F.struct(*ranked)).alias("_kept")).select(
+        *[F.col(c) if c in key else F.col(f"_kept.{c}") for c in df.columns])
+
+
+def conflicting_events(df: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """(key, versions) of the events whose copies differ."""
+    key = key or EVENT_KEY
+    rest = [c for c in df.columns if c not in key]
+    return (df.groupBy(*key, *rest).agg(F.lit(1).alias("_one")).groupBy(*key)
+            .agg(F.count(F.lit(1)).alias("versions")).filter("versions > 1"))
 
 
 def dedup_latest(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -92,7 +92,6 @@ def _report(table: str, source: str, rules: list[tuple[str, str]]) -> str:
 ORACLE: dict[str, str] = {}
 
 # Sources and sinks
-ORACLE["scan_table"] = f"WITH {USERS} SELECT user_id AS userid, race, height FROM users WHERE height >= 180"
 ORACLE["write_roundtrip"] = f"WITH {HR} {_SILVER}"
 ORACLE["publish_dims"] = f"""WITH {USERS}, {ACTIVITIES}, {_DAYS}, {_MINUTES}
 SELECT 'dim_users' AS dimension, CAST(user_id AS VARCHAR) AS member FROM users
@@ -103,19 +102,23 @@ ORACLE["csv_ingest"] = f"""WITH {USERS} SELECT user_id AS userid, first_name AS
   gender AS sex, height, weight, blood_type, race, country_code AS origin_country_code,
   origin_country AS origin_country_name, address, country_code AS address_country_code,
   address_country AS address_country_name, '{testdata.USER_UPDATE}' AS last_update FROM users"""
+ORACLE["scan_table"] = ORACLE["csv_ingest"]
 ORACLE["jsonl_ingest"] = f"WITH {HR} {_SILVER}"
 ORACLE["jsonl_corrupt_split"] = f"""WITH {HR} SELECT
   CASE WHEN heart_rate > 180 THEN 'corrupt' ELSE 'good' END AS status,
   CASE WHEN heart_rate <= 180 THEN event_id END AS event_id,
   CASE WHEN heart_rate <= 180 THEN heart_rate END AS heart_rate FROM hr"""
+_META = """'{"activity_id":' || activity_id || ',"location":{"latitude":' || latitude || ',"longitude":' || longitude
+  || '}}' AS meta"""
 ORACLE["incremental_append"] = f"""WITH {HR} SELECT event_id, user_id, heart_rate,
-  CAST(epoch(event_timestamp) AS BIGINT) AS timestamp FROM hr"""
+  CAST(epoch(event_timestamp) AS BIGINT) AS timestamp, {_META} FROM hr"""
 ORACLE["encode_events"] = f"""WITH {HR} SELECT CAST(user_id AS VARCHAR) AS key,
   '{{"event_id":' || event_id || ',"user_id":' || user_id || ',"heart_rate":' || heart_rate
   || ',"timestamp":' || CAST(epoch(event_timestamp) AS BIGINT) || ',"meta":{{"activity_id":' || activity_id
   || ',"location":{{"latitude":' || latitude || ',"longitude":' || longitude || '}}}}}}' AS value FROM hr"""
 ORACLE["decode_events"] = f"WITH {HR} {_SILVER}"
 ORACLE["lake_sink_hourly"] = ORACLE["stream_lake_sink"] = f"""WITH {HR} SELECT event_id, user_id, heart_rate,
+  CAST(epoch(event_timestamp) AS BIGINT) AS timestamp, {_META},
   strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
   strftime(event_timestamp, '%d') AS day, strftime(event_timestamp, '%H') AS hour FROM hr"""
 
@@ -135,6 +138,11 @@ ORACLE["parse_yyyymmdd"] = f"""WITH {USERS} SELECT user_id AS userid,
 ORACLE["epoch_to_timestamp"] = f"""WITH {HR} SELECT event_id, CAST(epoch(event_timestamp) AS BIGINT) AS timestamp,
   event_timestamp, strftime(event_timestamp, '%H:%M:%S') AS event_time FROM hr"""
 ORACLE["dedup_events"] = f"WITH {HR} {_SILVER}"
+ORACLE["dedup_conflicts"] = f"WITH {HR} {_SILVER}"
+ORACLE["epoch_out_of_range"] = f"""WITH {HR} SELECT event_id,
+  CAST(epoch(event_timestamp) AS BIGINT) * CASE WHEN heart_rate > 150 THEN 1000 WHEN heart_rate > 100 THEN 1000000000 ELSE 1 END
+    AS timestamp,
+  CASE WHEN heart_rate <= 100 THEN event_timestamp END AS event_timestamp FROM hr"""
 ORACLE["dedup_latest"] = """SELECT o_custkey AS user_id, o_orderdate AS last_update, o_orderkey AS version,
   o_orderpriority AS address FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
@@ -160,12 +168,15 @@ ORACLE["scd2_history"] = _SCD2 + """, md5(user_id || '|' || CAST(start_date AS V
 ORACLE["scd2_merge"] = _SCD2 + " FROM versions"
 
 # Joins
-ORACLE["join_users"] = ORACLE["join_users_hot_split"] = f"""WITH {HR}, {USERS}
+_STRANGERS = """hr AS (SELECT * REPLACE (
+  CASE WHEN heart_rate % 2 = 1 THEN -user_id ELSE user_id END AS user_id,
+  CASE WHEN heart_rate % 2 = 1 THEN -activity_id ELSE activity_id END AS activity_id) FROM read)"""
+ORACLE["join_users"] = ORACLE["join_users_hot_split"] = f"""WITH read AS (WITH {HR} SELECT * FROM hr), {_STRANGERS}, {USERS}
 SELECT event_id, hr.user_id AS user_key, heart_rate, gender, address_country
-FROM hr LEFT JOIN (SELECT * FROM users WHERE gender = 'F') u ON hr.user_id = u.user_id"""
-ORACLE["join_activities"] = f"""WITH {HR}, {ACTIVITIES}
+FROM hr LEFT JOIN users u ON hr.user_id = u.user_id"""
+ORACLE["join_activities"] = f"""WITH read AS (WITH {HR} SELECT * FROM hr), {_STRANGERS}, {ACTIVITIES}
 SELECT event_id, user_id AS user_key, heart_rate, activity_name
-FROM hr LEFT JOIN (SELECT * FROM activities WHERE activity_name <> 'Sleep') a ON hr.activity_id = a.activity_id"""
+FROM hr LEFT JOIN activities a ON hr.activity_id = a.activity_id"""
 ORACLE["join_date"] = f"""WITH {HR} SELECT event_id, user_id AS user_key, heart_rate, event_date,
   dayname(event_date) AS day_name, isodow(event_date) >= 6 AS is_weekend FROM hr"""
 ORACLE["join_time"] = f"""WITH {HR} SELECT event_id, user_id AS user_key, heart_rate,
@@ -220,7 +231,9 @@ for _f in ("max", "min", "avg"):
     ORACLE[f"win_{_f}"] = f"""WITH {HR} SELECT event_id, user_id AS user_key, heart_rate, event_date, activity_id,
   {_f}(heart_rate) OVER ({_DAY}) AS {_f}_heart_rate FROM hr"""
 ORACLE["fct_heart_rate"] = ORACLE["fct_heart_rate_hot_split"] = _FACT
-ORACLE["fct_heart_rate_by_day"] = ORACLE["medallion_refresh"] = ORACLE["incremental_refresh"] = _FACT
+ORACLE["fct_heart_rate_by_day"] = ORACLE["medallion_refresh"] = _FACT
+ORACLE["incremental_refresh"] = f"""WITH known AS (WITH {USERS} SELECT user_id AS user_key, gender FROM users),
+whole AS ({_FACT}) SELECT whole.*, gender FROM whole LEFT JOIN known USING (user_key)"""
 
 # Dimensions
 ORACLE["dim_date"] = f"""WITH {_DAYS}, per_day AS (
@@ -261,7 +274,7 @@ ORACLE["dq_accepted_values"] = f"WITH {USERS} " + _report("users", "users", [
     ("accepted(gender)", "gender NOT IN ('M', 'F')")])
 _EXPECTED = ", ".join(f"('{c}')" for c in [*CATEGORY_NAMES, "No Such Category"])
 ORACLE["dq_coverage"] = f"""WITH {HR}, seen AS (
-  SELECT {_CATEGORY} AS value, count(*) AS n FROM hr WHERE heart_rate > 100 GROUP BY 1)
+  SELECT {_CATEGORY} AS value, count(*) AS n FROM hr GROUP BY 1)
 SELECT value, CAST(coalesce(n, 0) AS BIGINT) AS rows FROM (VALUES {_EXPECTED}) e(value) LEFT JOIN seen USING (value)"""
 _TAMPERED = FACT + """, tampered AS (
   SELECT * REPLACE (CASE WHEN heart_rate > 200 THEN max_heart_rate + 1 ELSE max_heart_rate END AS max_heart_rate)
@@ -277,8 +290,13 @@ FROM tampered WHERE heart_rate > 200"""
 ORACLE["dq_lag_continuity"] = f"""WITH {FACT}
 SELECT event_id, user_key, CAST(0 AS BIGINT) AS previous_heart_rate, previous_heart_rate AS expected
 FROM fact WHERE heart_rate > 200"""
-ORACLE["dq_first_row_null"] = f"""WITH {HR}
-SELECT user_id AS user_key, CAST(0 AS BIGINT) AS violations FROM hr GROUP BY user_id"""
+ORACLE["dq_first_row_null"] = f"""WITH {HR}, ranked AS (
+  SELECT user_id AS user_key, heart_rate, date_trunc('second', event_timestamp) AS second,
+    row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS nth FROM hr),
+tampered AS (SELECT *, CASE WHEN nth = 1 THEN heart_rate <= 120 ELSE heart_rate > 200 END AS missing FROM ranked)
+SELECT user_key, CAST(abs(count(*) FILTER (missing) - 1)
+  + CASE WHEN min(second) IS NOT DISTINCT FROM min(second) FILTER (missing) THEN 0 ELSE 1 END AS BIGINT) AS violations
+FROM tampered GROUP BY user_key"""
 ORACLE["hr_band_check"] = f"""WITH {HR}, {ACTIVITIES}, named AS (
   SELECT event_id, user_id AS user_key, heart_rate, activity_name,
          CASE WHEN activity_name IN ('Stand', 'Sit', 'Sleep') THEN 'rest'
@@ -297,9 +315,11 @@ SELECT event_id, failed_rules <> '' AS quarantined, failed_rules FROM named"""
 
 # Streaming
 ORACLE["stream_flatten"] = ORACLE["stream_dedup"] = f"WITH {HR} {_SILVER}"
-ORACLE["stream_daily_stats"] = f"""WITH {HR}, daily AS ({_DAILY})
-SELECT * FROM daily WHERE event_date < (SELECT max(event_date) FROM hr)"""
-ORACLE["stream_previous_hr"] = f"""WITH {HR} SELECT user_id, event_timestamp, event_id, heart_rate,
+ORACLE["stream_daily_stats"] = f"WITH {HR} {_DAILY}"
+ORACLE["stream_malformed_kept"] = f"""WITH {HR} SELECT CASE WHEN heart_rate > 180 THEN 'malformed' ELSE 'good' END AS status,
+  CASE WHEN heart_rate <= 180 THEN event_id END AS event_id, CASE WHEN heart_rate <= 180 THEN heart_rate END AS heart_rate,
+  CASE WHEN heart_rate > 180 THEN '{{"user_id": 7, broken ' || heart_rate ELSE '' END AS record FROM hr"""
+ORACLE["stream_previous_hr"] = ORACLE["stream_late_reconciled"] = f"""WITH {HR} SELECT user_id, event_timestamp, event_id, heart_rate,
   {_LAG} AS previous_heart_rate FROM hr"""
 ORACLE["replay_equals_stream"] = """SELECT CAST(count(*) AS BIGINT) AS left_rows, CAST(count(*) AS BIGINT) AS right_rows,
   CAST(0 AS BIGINT) AS differing FROM events"""

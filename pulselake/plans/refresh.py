@@ -37,24 +37,34 @@ def fact_rules() -> list[q.Rule]:
                       "max_heart_rate", "min_heart_rate", "avg_heart_rate")
 
 
+def split_readings(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readings that keep all rules, the others with the names of those they break)."""
+    flagged = q.flag(readings, silver_rules()["heart_rate_cleaned"])
+    return (flagged.filter("NOT quarantined").drop("failed_rules", "quarantined"),
+            flagged.filter("quarantined").drop("quarantined"))
+
+
 def build_silver(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
                  last_day: datetime.date = dims.LAST_DAY) -> None:
     lake.write(silver.latest_users(lake.read("bronze", "raw_users")), "silver", "dim_users")
     lake.write(silver.latest_activities(lake.read("bronze", "raw_activities")), "silver", "dim_activities")
-    lake.write(silver.distinct_heart_rate(lake.read("bronze", "heartrate_stream")),
-               "silver", "heart_rate_cleaned")
+    good, bad = split_readings(silver.distinct_heart_rate(lake.read("bronze", "heartrate_stream")))
+    lake.write(good, "silver", "heart_rate_cleaned")
+    lake.write(bad, "silver", "heart_rate_rejected")
     lake.write(silver.last_readings(lake.read("silver", "heart_rate_cleaned")), "silver", "last_readings")
     lake.write(dims.dim_date(lake.spark, first_day, last_day), "silver", "dim_date")
     lake.write(dims.dim_time(lake.spark), "silver", "dim_time")
 
 
-def check_silver(lake: Lake) -> list:
-    """Audit the written tables; one job, one aggregate per table."""
+def check_silver(lake: Lake, since: datetime.date | None = None) -> list:
+    """Audit the written tables, of the readings only the days from ``since`` on;
+    one job, one aggregate per table."""
+    days = {"heart_rate_cleaned": f"event_day >= date'{since}'"} if since else {}
     times = lake.read("silver", "dim_time")
     covered = q.coverage(times, "time_category", CATEGORY_NAMES)
     empty = covered.agg(F.count_if(F.col("rows") == 0).alias("violations"),
                         F.count(F.lit(1)).alias("total"))
-    reports = [q.report(lake.read("silver", key), key, rules) for key, rules in silver_rules().items()]
+    reports = [q.report(lake.read("silver", key, days.get(key)), key, rules) for key, rules in silver_rules().items()]
     reports.append(empty.select(F.lit("dim_time").alias("table"), F.lit("coverage(time_category)").alias("rule"),
                                 "violations", "total"))
     return q.gate(reports)
@@ -69,10 +79,17 @@ def publish(lake: Lake, key: str, rules: list[q.Rule] | None = None) -> None:
     lake.write(df, "gold", key)
 
 
-def check_gold(lake: Lake) -> list:
-    fact = lake.read("gold", "fct_heart_rate")
+def check_gold(lake: Lake, since: datetime.date | None = None) -> list:
+    """Audit the fact, or its days from ``since`` on. What is a user's first reading there
+    is told from the last readings of the days before."""
+    fact = lake.read("gold", "fct_heart_rate", f"event_date >= date'{since}'" if since else None)
     groups = q.reconcile_groups(fact)
-    users = q.first_row_null(fact)
+    newcomers = fact
+    if since:
+        known = (lake.read("silver", "last_readings", f"event_day < date'{since}'")
+                 .select(F.col("user_id").alias("user_key")).distinct())
+        newcomers = fact.join(known, "user_key", "left_anti")
+    users = q.first_row_null(newcomers)
 
     def as_report(df: DataFrame, rule: str, violations) -> DataFrame:
         return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"),
@@ -111,15 +128,19 @@ def full_refresh(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
     return lake.read("gold", "fct_heart_rate")
 
 
-def append_silver(lake: Lake, raw: DataFrame, since: datetime.date) -> None:
-    """Merge new raw readings dated ``since`` or later into silver.
+def merge_readings(lake: Lake, fresh: DataFrame) -> datetime.date | None:
+    """Merge new silver readings into their days, whichever those are; the first such day.
 
-    Only those days are read and rewritten; copies of known readings vanish.
+    Only those days are read and rewritten, copies of known readings vanish, and readings
+    that break a rule go to the rejected table. The calendar bounds the list of days.
     """
-    recent = f"event_day >= date'{since}'"
-    fresh = silver.heart_rate(raw).filter(F.to_date("event_timestamp") >= F.lit(since))
-    known = lake.read("silver", "heart_rate_cleaned", where=recent)
-    merged = dedup_events(known.unionByName(fresh))
+    good, bad = split_readings(fresh)
+    lake.write(bad, "silver", "heart_rate_rejected", mode="append")
+    days = sorted(r["d"] for r in good.select(F.to_date("event_timestamp").alias("d")).distinct().collect())
+    if not days:
+        return None
+    listed = f"event_day IN ({', '.join(f"date'{d}'" for d in days)})"
+    merged = dedup_events(lake.read_if_any("silver", "heart_rate_cleaned", where=listed).unionByName(good))
     # Spark will not overwrite what the same job reads, so the merged days are
     # written beside the table first.
     staged = shared_dir(lake.spark, "merge")
@@ -127,19 +148,34 @@ def append_silver(lake: Lake, raw: DataFrame, since: datetime.date) -> None:
     lake.write(lake.spark.read.schema(merged.schema).parquet(staged),
                "silver", "heart_rate_cleaned", only_partitions=True)
     remove_path(lake.spark, staged)
-    days = lake.read("silver", "heart_rate_cleaned", where=recent)
-    lake.write(silver.last_readings(days), "silver", "last_readings", only_partitions=True)
+    touched = lake.read("silver", "heart_rate_cleaned", where=listed)
+    lake.write(silver.last_readings(touched), "silver", "last_readings", only_partitions=True)
+    return days[0]
+
 
+def incremental_refresh(lake: Lake, since: datetime.date | None = None,
+                        arrived_since: datetime.date | None = None) -> datetime.date | None:
+    """Bring silver and gold up to date with new bronze readings; the first day rebuilt.
 
-def incremental_refresh(lake: Lake, since: datetime.date,
-                        arrived_since: datetime.date | None = None) -> None:
-    """Bring silver and gold up to date with the bronze readings dated ``since``
-    or later. ``arrived_since`` limits the scan to what arrived from that day
-    on; without it all of bronze is searched, by file statistics."""
-    first_second = int(datetime.datetime.combine(since, datetime.time(), datetime.timezone.utc).timestamp())
+    ``arrived_since`` takes the readings that arrived from that day on, whatever their
+    event time, so a late one is not missed; ``since`` takes those dated that day or later,
+    by file statistics. The affected days follow from the readings taken, the fact is
+    rebuilt from the first of them on, and the checks read no earlier day. The
+    dimensions are reloaded from bronze.
+    """
     arrived = f"ingest_day >= date'{arrived_since}'" if arrived_since else None
-    raw = lake.read("bronze", "heartrate_stream", where=arrived).filter(F.col("timestamp") >= first_second)
-    append_silver(lake, raw, since)
-    check_silver(lake)
-    build_gold(lake, since)
-    check_gold(lake)
+    raw = lake.read("bronze", "heartrate_stream", where=arrived)
+    if since:
+        raw = raw.filter(F.col("timestamp") >= int(datetime.datetime.combine(
+            since, datetime.time(), datetime.timezone.utc).timestamp()))
+    lake.write(silver.latest_users(lake.read("bronze", "raw_users")), "silver", "dim_users")
+    lake.write(silver.latest_activities(lake.read("bronze", "raw_activities")), "silver", "dim_activities")
+    first = merge_readings(lake, silver.heart_rate(raw))
+    check_silver(lake, first)
+    if first:
+        build_gold(lake, first)
+    for key in DIMENSIONS:
+        publish(lake, key, rules=[])  # checked just above
+    if first:
+        check_gold(lake, first)
+    return first

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,8 @@ class Table:
     # Storage partition: column name -> SQL expression over the table's columns.
     # A partition column outside ``schema`` is dropped again on read.
     partition: dict[str, str] = field(default_factory=dict)
+    # Rows that hold a text here did not fit the schema; a plain read leaves them out.
+    corrupt: str | None = None
 
 
 _ALL = [
@@ -27,7 +31,7 @@ _ALL = [
     Table("bronze", "raw_activities", "raw_activity", schemas.RAW_ACTIVITY),
     # By arrival, so that an incremental refresh need not open older files.
     Table("bronze", "heartrate_stream", "heartrate_stream", schemas.RAW_HEART_RATE_WITH_ID,
-          {"ingest_day": "current_date()"}),
+          {"ingest_day": "current_date()", "load": "'{load}'"}, corrupt="_corrupt_record"),
     Table("silver", "dim_users", "dim_users", schemas.DIM_USERS),
     Table("silver", "dim_activities", "dim_activities", schemas.DIM_ACTIVITIES),
     Table("silver", "heart_rate_cleaned", "heart_rate_cleaned", schemas.HEART_RATE_CLEANED,
@@ -36,6 +40,8 @@ _ALL = [
     # know of the days before it.
     Table("silver", "last_readings", "last_readings", schemas.LAST_READINGS,
           {"event_day": "to_date(event_timestamp)"}),
+    # Readings that break a rule, with the rules' names, by the day they were found.
+    Table("silver", "heart_rate_rejected", "heart_rate_rejected", schemas.HEART_RATE_REJECTED),
     Table("silver", "dim_date", "dim_date", schemas.DIM_DATE),
     Table("silver", "dim_time", "dim_time", schemas.DIM_TIME),
     Table("gold", "fct_heart_rate", "fct_heart_rate", schemas.FCT_HEART_RATE,
@@ -87,12 +93,32 @@ class Lake:
         full = T.StructType(list(t.schema.fields))
         for name in t.partition:
             if name not in t.schema.names:
-                full = full.add(name, "date")
+                full = full.add(name, "string" if name == "load" else "date")
+        if t.corrupt:
+            full = full.add(t.corrupt, "string")
         df = self.spark.read.format(self.fmt).options(**self.options).schema(full).load(self.path(layer, key))
+        if t.corrupt:
+            df = df.filter(F.col(t.corrupt).isNull())
         if where:
             df = df.filter(where)
         return df.select(*t.schema.names)
 
+    def rejected(self, layer: str, key: str) -> DataFrame:
+        """The texts of the records that did not fit the table's schema."""
+        t = self.table(layer, key)
+        df = self.spark.read.format(self.fmt).options(**self.options).schema(f"{t.corrupt} string, ingest_day date").load(
+            self.path(layer, key))
+        return df.filter(F.col(t.corrupt).isNotNull())
+
+    def read_if_any(self, layer: str, key: str, where: str | None = None) -> DataFrame:
+        """``read``, or no rows if the table has not been written yet."""
+        try:
+            return self.read(layer, key, where)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.table(layer, key).schema)
+
     def write(self, df: DataFrame, layer: str, key: str, mode: str = "overwrite",
               only_partitions: bool = False, laid_out: bool = False) -> None:
         """Write a frame that matches the table's contract.
@@ -104,7 +130,7 @@ class Lake:
         df = schemas.check_contract(df, t.schema, f"{layer}.{key}")
         overwrite = "dynamic" if only_partitions else "static"
         for name, expression in t.partition.items():
-            df = df.withColumn(name, F.expr(expression))
+            df = df.withColumn(name, F.expr(expression.replace("{load}", f"batch-{uuid.uuid4().hex[:12]}")))
         if t.partition and not laid_out:
             # Rebalance gives each partition value to few tasks, yet splits a
             # large one at the advisory size: no small-file burst, no hot task.

@@ -10,6 +10,7 @@ _TYPES = {
     "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
     "string": T.StringType(), "boolean": T.BooleanType(), "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
 }
 
 
@@ -46,6 +47,10 @@ HEART_RATE_CLEANED = _struct(
     "user_id bigint, heart_rate bigint, event_timestamp timestamp, activity_id bigint,"
     " latitude double, longitude double, event_id bigint"
 )
+HEART_RATE_REJECTED = _struct(
+    "user_id bigint, heart_rate bigint, event_timestamp timestamp, activity_id bigint,"
+    " latitude double, longitude double, event_id bigint, failed_rules array<string>"
+)
 LAST_READINGS = _struct("user_id bigint, event_timestamp timestamp, event_id bigint, heart_rate bigint")
 DIM_DATE = _struct(
     "date_day date, date date, prior_date_day date, next_date_day date,"

@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from pulselake import schemas
+from pulselake.functions.clean import epoch_to_timestamp
 
 CORRUPT = "_corrupt_record"
+NO_AGE = "36500d"  # Spark's own default would leave out files a week older than the newest
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -51,16 +53,16 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stream_jsonl(spark: SparkSession, path: str, with_id: bool = False,
-                 max_files: int = 1000, max_age: str = "3d") -> DataFrame:
-    """New files below ``path``, ``max_files`` at a time.
+                 max_files: int = 1000, max_age: str | None = None) -> DataFrame:
+    """New files below ``path``, ``max_files`` at a time, whatever their age.
 
-    ``max_age`` is the look-back once there is history: a file older than the
-    newest one by more than that is left alone. The first batch takes all.
+    ``max_age`` is a look-back for those who ask for one: once there is history, a file
+    older than the newest one by more than that is left alone. The first batch takes all.
     """
     return (spark.readStream.schema(_event_schema(with_id, True))
             .option("recursiveFileLookup", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
+            .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age or NO_AGE)
             .json(path))
 
 
@@ -97,7 +99,7 @@ def encode_events(events: DataFrame) -> DataFrame:
 
 def with_event_hour(events: DataFrame) -> DataFrame:
     """Add the lake's directory columns from the event time."""
-    at = F.timestamp_seconds("timestamp")
+    at = epoch_to_timestamp(F.col("timestamp"))
     return (events.withColumn("year", F.date_format(at, "yyyy"))
             .withColumn("month", F.date_format(at, "MM"))
             .withColumn("day", F.date_format(at, "dd"))
@@ -112,3 +114,10 @@ def write_lake(events: DataFrame, path: str, mode: str = "append") -> None:
     splits an hour that is too big for one."""
     out = with_event_hour(events).hint("rebalance", *[F.col(c) for c in LAKE_PARTITIONS])
     out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*LAKE_PARTITIONS).json(path)
+
+
+def write_lake_load(events: DataFrame, path: str, load: str) -> None:
+    """The same with a directory for each load below the hour: written again, a load replaces itself."""
+    parts = [*LAKE_PARTITIONS, "load"]
+    out = with_event_hour(events).withColumn("load", F.lit(load)).hint("rebalance", *[F.col(c) for c in LAKE_PARTITIONS])
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).json(path)

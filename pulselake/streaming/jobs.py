@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pulselake.operators.ordered import with_previous
 from pulselake.operators.skew import Hot
 from pulselake.plans import silver
+from pulselake.registry import Lake
 from pulselake.session import remove_path
 from pulselake.sources import raw
 
@@ -23,18 +25,39 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
 
 
 def flatten(events: DataFrame) -> DataFrame:
-    """Silver readings from a raw stream: the batch transform, stateless."""
-    return silver.heart_rate(events.drop(raw.CORRUPT))
+    """Silver readings from a raw stream: the batch transform, stateless. Records that do
+    not fit the schema go to ``to_malformed``."""
+    return silver.heart_rate(events.filter(F.col(raw.CORRUPT).isNull()).drop(raw.CORRUPT))
+
+
+def to_malformed(events: DataFrame, path: str) -> DataStreamWriter:
+    """The texts of the records that do not fit the schema, a directory for each batch."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()  # the file source will not read that column alone
+        raw.split_corrupt(held)[1].select(raw.CORRUPT).write.mode("overwrite").text(f"{path}/batch={batch_id}")
+        held.unpersist()
+
+    return events.writeStream.foreachBatch(land)
 
 
 def to_parquet(df: DataFrame, path: str) -> DataStreamWriter:
     return df.writeStream.format("parquet").option("path", path).outputMode("append")
 
 
-def to_lake(events: DataFrame, path: str) -> DataStreamWriter:
-    """JSON files by event hour."""
-    return (raw.with_event_hour(events.drop(raw.CORRUPT)).writeStream.format("json")
-            .option("path", path).partitionBy(*raw.LAKE_PARTITIONS).outputMode("append"))
+def to_lake(events: DataFrame, path: str, malformed_path: str | None = None) -> DataStreamWriter:
+    """JSON files by event hour; records that do not fit the schema keep their text, in
+    files beside the lake. Each batch has directories of its own, so that one that is run again
+    replaces itself."""
+    beside = malformed_path or f"{path.rstrip('/')}-malformed"
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        good, bad = raw.split_corrupt(held)
+        raw.write_lake_load(good, path, f"batch-{batch_id}")
+        bad.select(raw.CORRUPT).write.mode("overwrite").text(f"{beside}/batch={batch_id}")
+        held.unpersist()
+
+    return events.writeStream.foreachBatch(land)
 
 
 def to_topic(events: DataFrame, servers: str, topic: str) -> DataStreamWriter:
@@ -44,31 +67,54 @@ def to_topic(events: DataFrame, servers: str, topic: str) -> DataStreamWriter:
 
 
 def incremental_append(spark: SparkSession, source: str, table: str, checkpoint: str,
-                       with_id: bool = False, max_age: str = "3d") -> StreamingQuery:
+                       with_id: bool = False, max_age: str | None = None) -> StreamingQuery:
     """Append to ``table`` the records of files not seen before, malformed ones
     included, each with its file and that file's modification time. The table is
-    partitioned by the day of the latter. Running it again without new files
-    adds nothing."""
+    partitioned by the day of arrival and the load, like a batch append to it, so both can
+    be read together. Running it again without new files adds nothing."""
     rows = raw.with_lineage(raw.stream_jsonl(spark, source, with_id, max_age=max_age))
-    rows = rows.withColumn("ingest_day", F.to_date("_source_modified"))
-    return drain(to_parquet(rows, table).partitionBy("ingest_day"), checkpoint)
+    tag = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("ingest_day", F.current_date()).withColumn("load", F.lit(f"stream-{tag}-{batch_id}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_day", "load").parquet(table))
+
+    return drain(rows.writeStream.foreachBatch(load), checkpoint)
+
 
+def dedup(readings: DataFrame, lake: Lake) -> DataStreamWriter:
+    """One row per event in the lake's cleaned readings, however late its copies arrive.
 
-def dedup(readings: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop copies that arrive within ``delay`` of each other in event time. State
-    is one key per event and is dropped once the watermark has passed it."""
-    return (readings.withWatermark("event_timestamp", delay)
-            .dropDuplicatesWithinWatermark(["user_id", "event_id"]))
+    Each batch is merged into the days it holds with the batch rule, so no state grows, no
+    watermark drops a late reading, and a batch that is run again changes nothing."""
+    return readings.writeStream.foreachBatch(lambda batch, _: _merge(lake, batch))
 
 
-def daily_stats(readings: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Daily statistics per user and activity; a day is emitted when it closes."""
-    return (readings.withWatermark("event_timestamp", delay)
-            .groupBy(F.window("event_timestamp", "1 day"), "user_id", "activity_id")
-            .agg(F.max("heart_rate").alias("max_heart_rate"), F.min("heart_rate").alias("min_heart_rate"),
-                 F.avg("heart_rate").alias("avg_heart_rate"))
-            .select("user_id", "activity_id", F.to_date("window.start").alias("event_date"),
-                    "max_heart_rate", "min_heart_rate", "avg_heart_rate"))
+def daily_stats(readings: DataFrame, lake: Lake, path: str) -> DataStreamWriter:
+    """Daily statistics per user and activity below ``path``, of open days and for late readings too.
+
+    After the merge of each batch the statistics of the days from its first one on that it
+    touched are computed again and replace what stood there."""
+    def update(batch: DataFrame, _: int) -> None:
+        held = batch.persist()
+        if _merge(lake, held):
+            days = [r["d"] for r in held.select(F.to_date("event_timestamp").alias("d")).distinct().collect() if r["d"]]
+            listed = f"event_day IN ({', '.join(f"date'{d}'" for d in days)})"
+            stats = (lake.read("silver", "heart_rate_cleaned", where=listed)
+                     .groupBy("user_id", "activity_id", F.to_date("event_timestamp").alias("event_date"))
+                     .agg(F.max("heart_rate").alias("max_heart_rate"), F.min("heart_rate").alias("min_heart_rate"),
+                          F.avg("heart_rate").alias("avg_heart_rate")))
+            (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_date").parquet(path))
+        held.unpersist()
+
+    return readings.writeStream.foreachBatch(update)
+
+
+def _merge(lake: Lake, batch: DataFrame):
+    from pulselake.plans.refresh import merge_readings
+    return merge_readings(lake, batch)
 
 
 @dataclass
@@ -81,8 +127,9 @@ class PreviousReading:
     ``root/state`` keeps, per batch id, the clock, the readings held back and each
     user's last settled reading. Every directory is named by batch id and
     overwritten, so a batch that is run again after a failure leaves the same
-    result. Readings later than ``delay`` go to ``root/late`` for the batch
-    refresh; none is dropped.
+    result. Readings later than ``delay`` go to ``root/late`` and those without a time to
+    ``root/untimed``; ``reconciled`` puts all of them into their place, and ``counts`` says how
+    many there are.
     """
 
     spark: SparkSession
@@ -113,8 +160,11 @@ class PreviousReading:
 
     def process(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
         """The ``foreachBatch`` function; ``final`` settles everything."""
-        rows = batch.select(*self.COLUMNS).persist()
+        everything = batch.select(*self.COLUMNS).persist()
         second = F.unix_seconds("event_timestamp")
+        (everything.filter("event_timestamp IS NULL").write.mode("overwrite")
+         .parquet(f"{self.root}/untimed/batch={batch_id}"))
+        rows = everything.filter("event_timestamp IS NOT NULL")
         was = self._line(batch_id - 1)
         newest = rows.agg(F.max(second).alias("s")).first()["s"]
         lines = [x for x in (was, None if newest is None else newest - self.delay) if x is not None]
@@ -145,7 +195,7 @@ class PreviousReading:
             (self.spark.range(1, numPartitions=1).select(F.lit(line).cast("bigint").alias("line"))
              .write.mode("overwrite").parquet(self._state("clock", batch_id)))
             self._forget(batch_id - 3)
-        rows.unpersist()
+        everything.unpersist()
 
     def writer(self, readings: DataFrame) -> DataStreamWriter:
         return readings.select(*self.COLUMNS).writeStream.foreachBatch(self.process)
@@ -157,8 +207,24 @@ class PreviousReading:
         self.process(empty, last_batch_id + 1, final=True)
 
     def result(self) -> DataFrame:
+        """The settled readings, as they were emitted."""
         return self.spark.read.parquet(f"{self.root}/out").drop("batch")
 
+    def _side(self, part: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{part}").select(*self.COLUMNS)
+
+    def counts(self) -> DataFrame:
+        """(part, readings): emitted, late and without a time; together all that came in."""
+        parts = [self._side(part).agg(F.count(F.lit(1)).alias("readings")).select(F.lit(part).alias("part"), "readings")
+                 for part in ("out", "late", "untimed")]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    def reconciled(self) -> DataFrame:
+        """All readings with their previous value, the late and untimed ones in their place:
+        the batch computation over what the stream took in."""
+        rows = self._side("out").unionByName(self._side("late")).unionByName(self._side("untimed"))
+        return with_previous(rows, "user_id", "event_timestamp", "event_id", "heart_rate", "previous_heart_rate", self.hot)
+
 
 def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """(left_rows, right_rows, differing): a multiset comparison in one shuffle,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from frames import meta, raw_events, seconds
 from pulselake.operators.skew import Hot
 from pulselake.plans import silver
+from pulselake.registry import Lake
 from pulselake.sources import raw
 from pulselake.streaming import jobs
 
@@ -45,6 +46,41 @@ def test_malformed_lines_are_emitted(spark, path):
     assert {r._corrupt_record for r in spark.read.parquet(path + "/t").collect()} == {None, "{broken"}
 
 
+def test_a_new_file_with_an_old_date_is_loaded(spark, path):
+    def run():
+        jobs.incremental_append(spark, path + "/in", path + "/t", path + "/cp", with_id=True)
+        return sorted(r.event_id for r in spark.read.parquet(path + "/t").collect())
+
+    land(path + "/in", "first", [(1, 1, 70, "2024-01-01T00:00:00")])
+    assert run() == [1]
+    land(path + "/in", "old", [(2, 1, 70, "2024-01-01T00:00:01")], age=90 * 86400)
+    assert run() == [1, 2]
+
+
+def test_streamed_and_batch_appends_are_read_together(spark, path):
+    lake = Lake(spark, path + "/lake")
+    land(path + "/in", "a", [(1, 1, 70, "2024-01-01T00:00:00")])
+    with open(path + "/in/b.json", "w") as f:
+        f.write('{"event_id": 9, "user_id": 5, "heart_rate": oops\n')
+    jobs.incremental_append(spark, path + "/in", lake.path("bronze", "heartrate_stream"), path + "/cp", with_id=True)
+    lake.write(raw_events(spark, [(2, 1, 71, "2024-01-01T00:00:00", meta())]), "bronze", "heartrate_stream", mode="append")
+    assert sorted(r.event_id for r in lake.read("bronze", "heartrate_stream").collect()) == [1, 2]
+    assert [r._corrupt_record for r in lake.rejected("bronze", "heartrate_stream").collect()] == [
+        '{"event_id": 9, "user_id": 5, "heart_rate": oops']
+
+
+def test_late_and_untimed_readings_are_counted_and_reconciled(spark, path):
+    job = jobs.PreviousReading(spark, path + "/job", delay=60)
+    batches = [[(1, 1, 70, "2024-01-02T00:00:00", meta()), (2, 1, 71, "2024-01-02T01:00:00", meta())],
+               [(3, 1, 72, "2024-01-01T00:00:00", meta()), (4, 1, 73, None, meta())]]
+    for i, batch in enumerate(batches):
+        job.process(silver.heart_rate(raw_events(spark, batch)), i)
+    job.finish(1)
+    assert {r.part: r.readings for r in job.counts().collect()} == {"out": 2, "late": 1, "untimed": 1}
+    got = {r.event_id: r.previous_heart_rate for r in job.reconciled().collect()}
+    assert len(got) == 4 and got[1] == 72 and got[2] == 70
+
+
 def test_history_look_back(spark, path):
     def run():
         jobs.incremental_append(spark, path + "/in", path + "/t", path + "/cp", with_id=True, max_age="3d")
@@ -66,17 +102,20 @@ def stream(spark, path, max_files=1000):
 def test_copies_across_batches_are_dropped(spark, path):
     for part in ("a", "b"):
         land(path + "/in", part, [(1, 1, 70, "2024-01-01T00:00:00"), (2, 1, 71, "2024-01-01T00:00:10")])
-        jobs.drain(jobs.to_parquet(jobs.dedup(stream(spark, path + "/in")), path + "/out"), path + "/cp")
-    assert sorted(r.event_id for r in spark.read.parquet(path + "/out").collect()) == [1, 2]
+        jobs.drain(jobs.dedup(stream(spark, path + "/in"), Lake(spark, path + "/lake")), path + "/cp")
+    land(path + "/in", "late", [(3, 1, 72, "2023-12-28T00:00:00")])  # days before all others
+    jobs.drain(jobs.dedup(stream(spark, path + "/in"), Lake(spark, path + "/lake")), path + "/cp")
+    got = Lake(spark, path + "/lake").read("silver", "heart_rate_cleaned").collect()
+    assert sorted(r.event_id for r in got) == [1, 2, 3]
 
 
-def test_days_are_emitted_once_closed(spark, path):
+def test_open_days_have_statistics_too(spark, path):
     land(path + "/in", "a", [(1, 1, 70, "2024-01-01T10:00:00"), (2, 1, 80, "2024-01-01T11:00:00"),
                              (3, 1, 99, "2024-01-02T10:00:00")])
-    jobs.drain(jobs.to_parquet(jobs.daily_stats(stream(spark, path + "/in")), path + "/out"), path + "/cp")
-    got = [(str(r.event_date), r.max_heart_rate, r.min_heart_rate, r.avg_heart_rate)
-           for r in spark.read.parquet(path + "/out").collect()]
-    assert got == [("2024-01-01", 80, 70, 75.0)]
+    jobs.drain(jobs.daily_stats(stream(spark, path + "/in"), Lake(spark, path + "/lake"), path + "/out"), path + "/cp")
+    got = sorted((str(r.event_date), r.max_heart_rate, r.min_heart_rate, r.avg_heart_rate)
+                 for r in spark.read.parquet(path + "/out").collect())
+    assert got == [("2024-01-01", 80, 70, 75.0), ("2024-01-02", 99, 99, 99.0)]
 
 
 def test_stream_lake_sink_directories(spark, path):
