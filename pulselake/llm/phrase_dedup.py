@@ -8,11 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pulselake.llm.repeats import Units, equal_contexts, removal_rows, without_repeats
+from pulselake.llm.repeats import Removals, Units, equal_contexts, spans_of, without_repeats
 from pulselake.llm.vectorized import BLANK, hash_words, words
 
-WORDS_AT_ONCE = 1 << 20  # bytes of the contexts that one automaton serves, or one anchor's if they are more
-GRAM = 3
+WORDS_AT_ONCE = 1 << 18  # bytes of the contexts that one automaton serves, or one anchor's if they are more
+GRAM = 5
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple:
@@ -42,38 +42,42 @@ def confirmed(passages: list[tuple[tuple[int, ...], int, int]], window: int) ->
 def _compare(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
+        out = Removals()
         for part in equal_contexts(batches, WORDS_AT_ONCE):
-            out, number, passages, places = [], {}, [], []
+            whole, number, passages, places = [], {}, [], []
             for group in part:
                 for context, where in group:
                     if context is None:
-                        out.extend((key, start, stop) for start, stop, key in where)
+                        whole.extend((key, start, stop) for start, stop, key in where)
                         continue
                     where.sort()
                     ids = tuple([number.setdefault(w, len(number)) for w in context.split()])
                     passages.append((ids, where[0][0], where[-1][0]))
                     places.append(where)
+            if whole:
+                out.add(*zip(*whole))
             phrases = confirmed(passages, window)
             if phrases:
                 shard = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
                 for phrase, least in phrases.items():
                     shard.add_word(phrase, least)
                 shard.make_automaton()
+                owner, offset = [], []
+                keys, starts = [], []
                 for (ids, _, high), where in zip(passages, places):
                     hits = [(end - window + 1, least) for end, least in shard.iter(ids) if least < high]
                     for i, _, start, key in where if hits else ():
-                        run_from = last = None
-                        for at, least in hits:
-                            if least >= i:
-                                continue
-                            if last is None or at > last + 1:
-                                if last is not None:
-                                    out.append((key, start + run_from, start + last + window))
-                                run_from = at
-                            last = at
-                        if last is not None:
-                            out.append((key, start + run_from, start + last + window))
-            yield removal_rows(out)
+                        mine = [at for at, least in hits if least < i]
+                        owner.extend([len(keys)] * len(mine))
+                        offset.extend(mine)
+                        keys.append(key)
+                        starts.append(start)
+                if owner:
+                    at, low, high = spans_of(np.array(owner), np.array(offset), window)
+                    keys, starts = np.array(keys, np.int64), np.array(starts, np.int64)
+                    out.add(keys[at], starts[at] + low, starts[at] + high)
+            yield from out.rows()
+        yield from out.rows(last=True)
     return run
 
 

@@ -22,10 +22,10 @@ from pulselake.llm.vectorized import blocks, gram_hashes, mix
 
 KEY = "__key"  # of a row: a hash of id and fingerprint
 PLACE_BITS = np.uint64(28)
-HOT = 1000  # places of an anchor that one group takes; those of one with more go by window
+HOT = 3000  # places of an anchor that one group takes; those of one with more go by window
 
 CONTEXT = f"anchor long, {ID} long, {FINGERPRINT} long, {KEY} long, start long, context binary"
-REMOVAL = f"{KEY} long, start long, stop long"
+REMOVAL = f"{KEY} long, starts binary, stops binary"
 
 
 @dataclass(frozen=True)
@@ -204,12 +204,15 @@ def _applied(rows: DataFrame, kind: Units, join: bytes, out: str) -> DataFrame:
         for part, data, offsets in blocks(batches, 1):
             _, first, begins, ends = kind.split(data, offsets)
             raw, result = data.tobytes(), []
-            for i, (starts, stops) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+            lists = zip(*[part.column(c).to_pylist() for c in (2, 3, 4)])
+            for i, (starts, stops, copy) in enumerate(lists):
                 n = int(first[i + 1] - first[i])
                 steps = np.zeros(n + 1, np.int64)
-                if starts:
-                    np.add.at(steps, starts, 1)
-                    np.add.at(steps, stops, -1)
+                if copy and n >= kind.window:
+                    steps[0] = 1
+                elif starts:
+                    np.add.at(steps, np.frombuffer(b"".join(starts), np.int64), 1)
+                    np.add.at(steps, np.frombuffer(b"".join(stops), np.int64), -1)
                 gone = np.concatenate([[False], np.cumsum(steps[:n]) > 0, [False]])
                 edges = np.flatnonzero(gone[1:] != gone[:-1])
                 kept = np.concatenate([[0], edges, [n]]).reshape(-1, 2)  # runs that stay
@@ -228,10 +231,16 @@ def without_repeats(docs: DataFrame, kind: Units, compare: Callable[[Iterator[pa
     """(doc_id, n_units, n_removed, n_spans, kept) per row of ``docs``.
 
     ``compare`` gets the contexts sorted by anchor and returns rows of REMOVAL. The texts
-    are shuffled once, for both the contexts and the result.
+    are shuffled once, for both the contexts and the result. A whole text that a smaller id has
+    too goes in one piece, as every window of it is there: such copies are told by 128 bits of
+    hash and the length, without their texts, and give no contexts.
     """
     n = partitions(docs)
     base = keyed(docs).withColumn(KEY, F.xxhash64(ID, FINGERPRINT))
+    same = [FINGERPRINT, "__fp2", "__size"]
+    ids = base.select(KEY, ID, FINGERPRINT, F.xxhash64(TEXT, F.lit(1)).alias("__fp2"), F.octet_length(TEXT).alias("__size"))
+    copies = staged(ids.join(ids.groupBy(*same).agg(F.min(ID).alias("least")), same).filter(F.col(ID) > F.col("least"))
+                    .select(KEY).distinct(), "copies").repartition(n, KEY).withColumn("copy", F.lit(True))
     found = staged(recurring_anchors(base, kind), "anchors")
     total = found.select(F.sum(F.length("places") / 8)).first()[0] or 0
     share = total / (8 * n)  # so there are at most 8 n of them
@@ -239,13 +248,17 @@ def without_repeats(docs: DataFrame, kind: Units, compare: Callable[[Iterator[pa
     texts = base.repartition(n, KEY)
     places = (found.filter(f"{KEY} IS NOT NULL").repartition(n, KEY).groupBy(KEY)
               .agg(F.collect_list("places").alias("places")))
-    suspects = texts.join(places, KEY)
+    # Not an anti-join: that would be pushed below the shuffle, which is to be shared.
+    suspects = texts.join(places, KEY).join(copies, KEY, "left").filter("copy IS NULL")
     around = contexts(suspects, kind, hot)
     # A removal known already goes to any task: it has no anchor to meet others by.
     removals = (around.repartition(n, F.coalesce("anchor", KEY)).sortWithinPartitions("anchor")
                 .mapInArrow(compare, REMOVAL).repartition(n, KEY).groupBy(KEY)
-                .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")))
-    rows = texts.join(removals, KEY, "left").select(ID, TEXT, "starts", "stops")
+                .agg(F.collect_list(F.struct("starts", "stops")).alias("r"))
+                .select(KEY, F.col("r.starts").alias("starts"), F.col("r.stops").alias("stops")))
+    # The fingerprint goes along so that both uses of the texts read the same columns, and
+    # with that the same shuffle files.
+    rows = texts.join(removals, KEY, "left").join(copies, KEY, "left").select(ID, TEXT, "starts", "stops", "copy", FINGERPRINT)
     return _applied(rows, kind, join, out).select(plain_id(), "n_units", "n_removed", "n_spans", "kept")
 
 
@@ -279,5 +292,35 @@ def equal_contexts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[lis
         yield held
 
 
-def removal_rows(out: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(3)], [KEY, "start", "stop"])
+class Removals:
+    """Spans to remove, gathered by row key and put out in packed rows, some hundred thousand at a time."""
+
+    def __init__(self, most: int = 300_000):
+        self.most, self.parts, self.held = most, [], 0
+
+    def add(self, keys, starts, stops) -> None:
+        self.parts.append([np.asarray(x, np.int64) for x in (keys, starts, stops)])
+        self.held += len(self.parts[-1][0])
+
+    def rows(self, last: bool = False) -> Iterator[pa.RecordBatch]:
+        if not self.held or (self.held < self.most and not last):
+            return
+        keys, starts, stops = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts, self.held = [], 0
+        order = np.lexsort((starts, keys))
+        keys, starts, stops = keys[order], starts[order], stops[order]
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        packed = [[x.tobytes() for x in np.split(v, cuts)] for v in (starts, stops)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys[np.concatenate([[0], cuts])]), *[pa.array(v, pa.binary()) for v in packed]], [KEY, "starts", "stops"])
+
+
+def spans_of(owners: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, start, stop) of the runs that the windows at ``offsets`` of each owner cover."""
+    if not len(owners):
+        return owners, offsets, offsets
+    order = np.lexsort((offsets, owners))
+    owners, offsets = owners[order], offsets[order]
+    new = np.flatnonzero((np.diff(owners, prepend=-1) != 0) | (np.diff(offsets, prepend=-2) > 1))
+    last = np.concatenate([new[1:], [len(owners)]]) - 1
+    return owners[new], offsets[new], offsets[last] + window

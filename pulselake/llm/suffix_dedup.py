@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pulselake.llm.gsaca import suffix_array
-from pulselake.llm.repeats import Units, equal_contexts, removal_rows, without_repeats
-from pulselake.llm.vectorized import byte_units
+from pulselake.llm.repeats import Removals, Units, equal_contexts, spans_of, without_repeats
+from pulselake.llm.vectorized import byte_units, gram_hashes
 
-TEXT_AT_ONCE = 1 << 16  # bytes of one suffix array, or one anchor's contexts if they are more
-GRAM = 24
+TEXT_AT_ONCE = 1 << 14  # bytes of one suffix array, or one anchor's contexts if they are more
+GRAM = 32
 
 
 def _bytes(data: np.ndarray, offsets: np.ndarray) -> tuple:
@@ -24,72 +24,65 @@ def _slice(raw: bytes, _, __, a: int, b: int) -> bytes:
     return raw[a:b]
 
 
-def repeated(contexts: list[bytes], window: int) -> list[list[tuple[int, int]]]:
-    """Classes of equal windows as (context, offset); windows that no other equals are left out.
+def repeated(contexts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, context, offset) of each window that another one equals, class by class.
 
-    The contexts form one text, parted by a symbol below all bytes. In its suffix array equal
-    windows are neighbours.
+    The contexts form one text. In its suffix array equal windows are neighbours, whatever
+    comes between the contexts.
     """
-    text: list[int] = []
-    place: list[tuple[int, int] | None] = []
-    for k, c in enumerate(contexts):
-        starts = max(0, len(c) - window + 1)
-        text.extend(b + 1 for b in c)
-        text.append(0)
-        place.extend((k, o) for o in range(starts))
-        place.extend([None] * (len(c) + 1 - starts))
-    classes, last, current = [], None, []
-    for i in suffix_array(text):
-        at = place[i]
-        if at is None:
-            continue
-        k, o = at
-        here = contexts[k][o:o + window]
-        if here == last:
-            current.append(at)
-        else:
-            if len(current) > 1:
-                classes.append(current)
-            last, current = here, [at]
-    if len(current) > 1:
-        classes.append(current)
-    return classes
+    text = b"\0".join(contexts)
+    size = np.array([len(c) for c in contexts])
+    begin = np.cumsum(size + 1) - size - 1
+    whose = np.repeat(np.arange(len(contexts)), size + 1)[:len(text)]
+    inside = np.arange(len(text)) + window <= (begin + size)[whose]
+    order = np.array(suffix_array(text), np.int64)
+    order = order[inside[order]]
+    hashes = gram_hashes(byte_units(np.frombuffer(text, np.uint8)), window)[order]
+    alike = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+    a, b = order[alike - 1].tolist(), order[alike].tolist()
+    same = np.zeros(len(order), bool)
+    same[alike] = [text[i:i + window] == text[j:j + window] for i, j in zip(a, b)]
+    several = same | np.concatenate([same[1:], [False]]) if len(order) else same
+    kind, at = np.cumsum(~same)[several], order[several]
+    return kind, whose[at], at - begin[whose[at]]
 
 
 def _compare(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Removals()
         for part in equal_contexts(batches, TEXT_AT_ONCE):
-            out, contexts, places = [], [], []
+            whole, contexts, places = [], [], []
             for group in part:
                 for context, where in group:
                     if context is None:
-                        out.extend((key, start, stop) for start, stop, key in where)
+                        whole.extend((key, start, stop) for start, stop, key in where)
                         continue
                     where.sort()
                     first = where[0]
-                    out.extend((w[3], w[2], w[2] + len(context)) for w in where if w[:3] != first[:3])
+                    whole.extend((w[3], w[2], w[2] + len(context)) for w in where if w[:3] != first[:3])
                     if len(group) > 1:  # the only context of an anchor has no window twice
                         contexts.append(context)
                         places.append(first)
+            if whole:
+                out.add(*zip(*whole))
             if contexts:
-                gone: dict[int, set[int]] = {}
-                for members in repeated(contexts, window):
-                    at = [(places[k][0], places[k][1], places[k][2] + o, k, o) for k, o in members]
-                    least = min(at)[:3]
-                    for a in at:
-                        if a[:3] != least:
-                            gone.setdefault(a[3], set()).add(a[4])
-                for k, offsets in gone.items():
-                    _, _, start, key = places[k]
-                    run_from = last = None
-                    for o in sorted(offsets):
-                        if last is None or o > last + 1:
-                            if last is not None:
-                                out.append((key, start + run_from, start + last + window))
-                            run_from = o
-                        last = o
-                    out.append((key, start + run_from, start + last + window))
-            yield removal_rows(out)
+                kind, context, offset = repeated(contexts, window)
+                rank = np.empty(len(places), np.int64)
+                ids = {d: i for i, d in enumerate(sorted({p[:2] for p in places}))}
+                rank[:] = [ids[p[:2]] for p in places]
+                start, key = (np.array([p[i] for p in places], np.int64) for i in (2, 3))
+                # In each class the least place by document and position stays, and with
+                # it contexts that hold that very place.
+                document, at = rank[context], start[context] + offset
+                order = np.lexsort((at, document, kind))
+                kind, context, offset, document, at = (x[order] for x in (kind, context, offset, document, at))
+                first = np.flatnonzero(np.diff(kind, prepend=-1))
+                least = np.repeat(first, np.diff(np.concatenate([first, [len(kind)]])))
+                gone = (document != document[least]) | (at != at[least])
+                owner, low, high = spans_of(context[gone], offset[gone], window)
+                out.add(key[owner], start[owner] + low, start[owner] + high)
+            yield from out.rows()
+        yield from out.rows(last=True)
     return run
 
 
