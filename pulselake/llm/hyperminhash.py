@@ -15,9 +15,10 @@ from pulselake.llm.grouped import block_pairs, groups
 from pulselake.llm.text import FINGERPRINT, ID, NULL_ID, TEXT, keyed, plain_id, whole_rows
 from pulselake.llm.vectorized import BLANK, LOWER, blocks, gram_hashes, hash_words, mix, words
 
-REGISTERS, BAND = 80, 4  # 20 bands: a pair at 0.8 shares none in 3 of 100,000 cases
+BANDED, BAND = 80, 4  # 20 bands: a pair at 0.8 shares none in 3 of 100,000 cases
+REGISTERS = BANDED + 192  # by a second hash, for the estimate alone
 MANTISSA = 10  # bits; the leading-zero count takes 6
-MARGIN = 0.2  # below the threshold, over four standard deviations of the estimate
+MARGIN = 0.12  # below the threshold, nearly five standard deviations of the estimate
 BLOCK = 512  # members of a bucket that meet in one group
 NODE = "struct<id: bigint, h: bigint>"
 
@@ -38,16 +39,21 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[n
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
+    """The registers for the bands, then those for the estimate alone."""
+    return np.concatenate([_registers(shingles, BANDED), _registers(mix(shingles + np.uint64(1)), REGISTERS - BANDED)])
+
+
+def _registers(hashes: np.ndarray, number: int) -> np.ndarray:
     """Of the least hash in each bucket: leading zeros and the bits behind the first one; 0 is empty."""
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
-    bucket = ((shingles >> np.uint64(32)) * np.uint64(REGISTERS)) >> np.uint64(32)
-    value = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
+    least = np.full(number, np.iinfo(np.uint64).max, np.uint64)
+    bucket = ((hashes >> np.uint64(32)) * np.uint64(number)) >> np.uint64(32)
+    value = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
     np.minimum.at(least, bucket.astype(np.int64), value)
     zeros = 63 - np.floor(np.log2(np.maximum(least >> np.uint64(11), 1).astype(float))).astype(np.int64) - 11
     zeros = np.minimum(zeros, 62 - MANTISSA)
     behind = (least >> (63 - zeros - MANTISSA).astype(np.uint64)) & np.uint64((1 << MANTISSA) - 1)
     out = ((zeros + 1).astype(np.uint64) << np.uint64(MANTISSA)) | behind
-    used = np.zeros(REGISTERS, bool)
+    used = np.zeros(number, bool)
     used[bucket.astype(np.int64)] = True
     return np.where(used, out, 0).astype(np.uint16)
 
@@ -86,7 +92,8 @@ def _bands(sets: DataFrame) -> DataFrame:
     """(key, node) for each band of a set with a register that is not empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            sketch = np.frombuffer(b"".join(rows.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS // BAND, BAND)
+            sketch = np.frombuffer(b"".join(rows.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            sketch = sketch[:, :BANDED].reshape(-1, BANDED // BAND, BAND)
             key = np.zeros(sketch.shape[:2], np.uint64) + mix(np.arange(sketch.shape[1], dtype=np.uint64))
             for j in range(BAND):
                 key = mix(key ^ sketch[:, :, j].astype(np.uint64))
@@ -159,14 +166,38 @@ def _between(members: DataFrame, least: float) -> DataFrame:
     return block_pairs(members, ["key"], BLOCK).mapInArrow(run, f"a {NODE}, b {NODE}").distinct()
 
 
+def _star(members: DataFrame, nth: int = 1) -> DataFrame:
+    """(a, b): each node of a bucket with its hub, the node with the most company; for the second
+    hub that of another component than the first's, with the nodes that are not in its own."""
+    rank = F.struct("company", F.col("node").alias("hub"))
+    hubs = members.groupBy("key").agg(F.max(rank).alias("h"))
+    if nth == 1:
+        pairs = members.join(hubs.select("key", F.col("h.hub").alias("hub")), "key").filter("node != hub")
+    else:
+        hubs = members.groupBy("key").agg(F.max(F.struct("company", F.col("node").alias("hub"), "component")).alias("h"))
+        others = (members.join(hubs, "key").filter("component != h.component").groupBy("key")
+                  .agg(F.max(F.struct("company", F.col("node").alias("hub"), "component")).alias("h")))
+        pairs = (members.join(others.select("key", "h.hub", F.col("h.component").alias("own")), "key")
+                 .filter("component != own"))
+    return pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+
+
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members, with their component, of the buckets that hold more than one."""
+    labelled = members.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .filter("lo != hi").select("key"))
+    return labelled.join(several, "key")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(__id, __fp, n_shingles, component, class): per row of ``docs`` its set's size and class.
 
     A row's set holds the distinct runs of ``size`` lower-cased words of its text, or all its
     words as one if they are fewer; without words it is empty and linked with nothing. Rows
     with equal sets are one node, named by the least id. Nodes that agree in a band of registers
-    are candidates. Each is first held against the bucket's least node; then, where a bucket
-    still has several components, across those. An estimate from the registers sorts out
+    are candidates. Each is first held against the bucket's hub, then against a hub of another
+    component, then, where a bucket still has several components, across those. An estimate from the registers sorts out
     pairs far below the threshold, and the whole sets confirm a link: ``percent`` of the
     union or more is shared. component is the least id reachable by links, null if the set is
     empty. No bucket's pairs are all made, and no group meets in one task.
@@ -178,24 +209,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                   .select(node.alias("node"), "h2", "n", F.col("least.registers").alias("registers"),
                           F.col(f"least.{FINGERPRINT}").alias(FINGERPRINT)), "sets")
     bands = _bands(sets)
-    hubs = bands.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
+    crowds = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    suspects = staged(bands.join(crowds, "key"), "buckets")
     near = percent / 100 - MARGIN
-    stars = staged(_alike(bands.join(hubs, "key").filter("node != b")
-                          .select(F.col("node").alias("a"), "b").distinct(), sets, near), "stars")
-    suspects = staged(bands.join(hubs.select("key"), "key"), "buckets")
+    # The text that the others in a bucket were made from shares more bands than they do
+    # among themselves: the node with the most company is the hub.
+    company = suspects.groupBy("node").agg(F.sum("m").alias("company"))
+    suspects = staged(suspects.drop("m").join(company, "node"), "company")
+    tested = staged(_alike(_star(suspects), sets, near), "stars")
     nodes = suspects.select("node").distinct()
     texts = staged(keyed(docs).join(
         nodes.join(sets.select("node", FINGERPRINT), "node")
         .select("node", F.col("node.id").alias(ID), FINGERPRINT), [ID, FINGERPRINT])
         .dropDuplicates(["node"]).select("node", TEXT), "texts")
-    links = staged(_verified(stars, texts, size, percent), "verified")
+    links = staged(_verified(tested, texts, size, percent), "verified")
     classes = staged(components(links), "classes")
-    labelled = (suspects.join(classes, "node", "left")
-                .select("key", "node", F.coalesce("component", "node").alias("component")))
-    mixed = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo != hi").select("key"))
-    rest = _between(labelled.join(mixed, "key").join(sets.select("node", "n", "registers"), "node"), near)
-    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "rest")
+    mixed = staged(_mixed(suspects, classes), "mixed")
+    if not mixed.isEmpty():  # a second hub, of another component than the first
+        second = staged(_alike(_star(mixed, 2).join(tested, ["a", "b"], "left_anti"), sets, near), "stars")
+        tested = tested.unionByName(second)
+        links = links.unionByName(staged(_verified(second, texts, size, percent), "verified"))
+        classes = staged(components(links), "classes")
+        mixed = _mixed(mixed.drop("component"), classes)
+    rest = _between(mixed.select("key", "node", "component").join(sets.select("node", "n", "registers"), "node"), near)
+    rest = staged(rest.join(tested, ["a", "b"], "left_anti"), "rest")
     more = staged(_verified(rest, texts, size, percent), "verified")
     if not more.isEmpty():
         classes = components(links.unionByName(more))
