@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulselake.llm.text import partitions
+
 RANGE, START, ROW = "__range", "__start", "__row"
 SAMPLES_PER_RANGE = 40
 
@@ -63,10 +65,12 @@ def ranged(df: DataFrame, key: Sequence[str], weight: str, ranges: int, order: S
            rounds: int = 3) -> tuple[DataFrame, int, int]:
     """(rows with __range, __start and __row; total weight; total rows).
 
+    There are ``ranges`` of them, or two for each shuffle partition if that is more.
     ``key`` are long columns without nulls. Rows are numbered in the order of the key (then
     ``order``); __start is the weight of all rows before. Ranges over twice their share are
     cut again by splitters drawn within them; a range of one single key stays.
     """
+    ranges = max(ranges, 2 * partitions(df))  # so that they grow with the shuffle
     first = df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()["w"]
     splitters = sample_splitters(df, key, weight, first, ranges)
     totals = _totals(df, key, weight, splitters)
