@@ -61,14 +61,12 @@ def _totals(df: DataFrame, key: Sequence[str], weight: str, splitters: Sequence[
     return {r[RANGE]: (r["w"], r["n"]) for r in rows}
 
 
-def ranged(df: DataFrame, key: Sequence[str], weight: str, ranges: int, order: Sequence[str] = (),
-           rounds: int = 3) -> tuple[DataFrame, int, int]:
-    """(rows with __range, __start and __row; total weight; total rows).
+def cut(df: DataFrame, key: Sequence[str], weight: str, ranges: int, rounds: int = 3) -> tuple[list[tuple], dict[int, tuple]]:
+    """(splitters, weight and rows of each range that has any).
 
     There are ``ranges`` of them, or two for each shuffle partition if that is more.
-    ``key`` are long columns without nulls. Rows are numbered in the order of the key (then
-    ``order``); __start is the weight of all rows before. Ranges over twice their share are
-    cut again by splitters drawn within them; a range of one single key stays.
+    ``key`` are long columns without nulls. Ranges over twice their share are cut again by
+    splitters drawn within them; a range of one single key stays.
     """
     ranges = max(ranges, 2 * partitions(df))  # so that they grow with the shuffle
     first = df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("w")).first()["w"]
@@ -86,6 +84,16 @@ def ranged(df: DataFrame, key: Sequence[str], weight: str, ranges: int, order: S
             break
         splitters = finer
         totals = _totals(df, key, weight, splitters)
+    return splitters, totals
+
+
+def numbered(df: DataFrame, key: Sequence[str], weight: str, splitters: Sequence[tuple], totals: dict[int, tuple],
+             order: Sequence[str] = ()) -> DataFrame:
+    """The rows with __range, __start and __row, by what ``cut`` found.
+
+    Rows are numbered in the order of the key (then ``order``); __start is the weight of all
+    rows before.
+    """
     known = sorted(totals)
     starts = dict(zip(known, accumulate([0, *(totals[r][0] for r in known)])))
     counts = dict(zip(known, accumulate([0, *(totals[r][1] for r in known)])))
@@ -93,12 +101,19 @@ def ranged(df: DataFrame, key: Sequence[str], weight: str, ranges: int, order: S
         [(r, int(starts[r]), int(counts[r])) for r in known], f"{RANGE} int, __w0 long, __n0 long"))
     in_order = Window.partitionBy(RANGE).orderBy(*key, *order)
     before = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = (df.withColumn(RANGE, range_index([F.col(k) for k in key], splitters))
-           .repartition(RANGE)
-           .withColumn("__w", F.sum(weight).over(before) - F.col(weight))
-           .withColumn("__n", F.row_number().over(in_order) - 1)
-           .join(offsets, RANGE)
-           .withColumn(START, F.col("__w0") + F.col("__w"))
-           .withColumn(ROW, F.col("__n0") + F.col("__n"))
-           .drop("__w0", "__n0", "__w", "__n"))
-    return out, int(first), int(sum(n for _, n in totals.values()))
+    return (df.withColumn(RANGE, range_index([F.col(k) for k in key], splitters))
+            .repartition(RANGE)
+            .withColumn("__w", F.sum(weight).over(before) - F.col(weight))
+            .withColumn("__n", F.row_number().over(in_order) - 1)
+            .join(offsets, RANGE)
+            .withColumn(START, F.col("__w0") + F.col("__w"))
+            .withColumn(ROW, F.col("__n0") + F.col("__n"))
+            .drop("__w0", "__n0", "__w", "__n"))
+
+
+def ranged(df: DataFrame, key: Sequence[str], weight: str, ranges: int, order: Sequence[str] = (),
+           rounds: int = 3) -> tuple[DataFrame, int, int]:
+    """(rows with __range, __start and __row; total weight; total rows). See ``cut`` and ``numbered``."""
+    splitters, totals = cut(df, key, weight, ranges, rounds)
+    out = numbered(df, key, weight, splitters, totals, order)
+    return out, int(sum(w for w, _ in totals.values())), int(sum(n for _, n in totals.values()))
