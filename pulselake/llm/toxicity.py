@@ -14,21 +14,54 @@ from pulselake.llm.vectorized import BASE, LETTER, LOWER, blocks, hash_words, mi
 
 ORDERS = (2, 3, 4, 5, 6)  # bytes; all back off to counts of three bytes that the classes share
 DISCOUNT = 0.75
-LONGEST = 40  # bytes of a word that are scored
+LONGEST = 40  # bytes of a word that are scored at a time; longer runs are cut into pieces
 FIT_DOCS, CALIBRATE_DOCS = 2000, 1500  # labelled rows of each class, at most
 CACHE_WORDS = 1 << 20
 EDGE = 0x20  # stands before and after each word
+CONTEXT = max(ORDERS) - 1  # bytes before a byte that its probability depends on
 
 
-def _padded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(matrix, length): each word with an edge before it and one behind, as a row."""
-    length = np.minimum(ends - starts, LONGEST)
-    width = int(length.max(initial=0)) + 2
-    m = np.full((len(starts), width), EDGE, np.uint8)
-    for j in range(width - 2):
-        here = length > j
-        m[here, j + 1] = LOWER[data[starts[here] + j]]
-    return m, length + 2
+class Pieces:
+    """Words cut after every LONGEST bytes: where each piece lies, and whether its word goes on."""
+
+    def __init__(self, starts: np.ndarray, ends: np.ndarray):
+        n = np.maximum(1, -(-(ends - starts) // LONGEST))
+        self.word = np.repeat(np.arange(len(starts)), n)  # the word's number
+        self.first = np.concatenate([[0], np.cumsum(n)])  # the number of each word's first piece
+        nth = np.arange(len(self.word)) - self.first[self.word]
+        self.starts = starts[self.word] + nth * LONGEST
+        self.ends = np.minimum(self.starts + LONGEST, ends[self.word])
+        self.opens, self.closes = nth == 0, self.ends == ends[self.word]
+
+    def __getitem__(self, some: np.ndarray) -> Pieces:
+        part = object.__new__(Pieces)
+        for name in ("word", "starts", "ends", "opens", "closes"):
+            setattr(part, name, getattr(self, name)[some])
+        return part
+
+    def hashes(self, lower: np.ndarray) -> np.ndarray:
+        """A hash of all that a piece's probability depends on; a whole word's is that of its bytes."""
+        h = hash_words(lower, self.starts - np.where(self.opens, 0, CONTEXT), self.ends)
+        kind = (2 * ~self.opens + ~self.closes).astype(np.uint64)
+        return np.where(kind > 0, mix(h + kind * BASE), h)
+
+
+def _padded(data: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(matrix, length, target): each piece as a row, from column ``target`` on.
+
+    Before it stands an edge, or the CONTEXT bytes before it in its word; behind it an
+    edge if the word ends there.
+    """
+    target = np.where(pieces.opens, 1, CONTEXT)
+    begin = pieces.starts - np.where(pieces.opens, 0, CONTEXT)
+    size = pieces.ends - begin
+    shift = pieces.opens.astype(np.int64)
+    length = size + shift + pieces.closes
+    m = np.full((len(begin), int(length.max(initial=0))), EDGE, np.uint8)
+    for j in range(int(size.max(initial=0))):
+        here = np.flatnonzero(size > j)
+        m[here, j + shift[here]] = LOWER[data[begin[here] + j]]
+    return m, length, target
 
 
 def _grams(m: np.ndarray, length: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,9 +107,9 @@ class Table:
         return self.values[out]
 
 
-def _by_length(starts: np.ndarray, ends: np.ndarray, most: int = 20000) -> list[np.ndarray]:
-    """Numbers of the words in parts of like length."""
-    order = np.argsort(ends - starts, kind="stable")
+def _by_length(pieces: Pieces, most: int = 20000) -> list[np.ndarray]:
+    """Numbers of the pieces in parts of like length."""
+    order = np.argsort(pieces.ends - pieces.starts, kind="stable")
     return np.array_split(order, max(1, len(order) // most)) if len(order) else []
 
 
@@ -88,13 +121,16 @@ class Model:
         data = np.frombuffer(b"".join(vocabulary), np.uint8)
         size = np.array([len(w) for w in vocabulary], np.int64)
         ends = np.cumsum(size)
-        parts = [(part, *_padded(data, (ends - size)[part], ends[part])) for part in _by_length(ends - size, ends)]
+        pieces = Pieces(ends - size, ends)
+        parts = [(pieces.word[part], *_padded(data, pieces[part])) for part in _by_length(pieces)]
         self.grams: dict[int, Table] = {}
         self.contexts: dict[int, Table] = {}  # counts, then distinct followers
         for order in ORDERS:
             found = []
-            for part, m, length in parts:
+            for part, m, length, target in parts:
                 whole, context, valid = _grams(m, length, order)
+                # What ends before the piece is counted in the one before.
+                valid &= np.arange(valid.shape[1])[None, :] + order > target[:, None]
                 n = counts[part][np.nonzero(valid)[0]].astype(np.float32)
                 if order < max(ORDERS):
                     # Below the top order a gram counts once for each byte before it (the
@@ -120,11 +156,16 @@ class Model:
 
     def word_ratios(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary), the edge behind it included."""
-        out = np.zeros(len(starts))
-        for part in _by_length(starts, ends):
-            m, length = _padded(data, starts[part], ends[part])
-            row, column = np.nonzero(np.arange(m.shape[1] - 1)[None, :] + 1 < length[:, None])
-            column += 1
+        pieces = Pieces(starts, ends)
+        return np.bincount(pieces.word, self.piece_ratios(data, pieces), len(starts))
+
+    def piece_ratios(self, data: np.ndarray, pieces: Pieces) -> np.ndarray:
+        """The part of each piece in its word's ratio."""
+        out = np.zeros(len(pieces.starts))
+        for part in _by_length(pieces):
+            m, length, target = _padded(data, pieces[part])
+            columns = np.arange(m.shape[1])[None, :]
+            row, column = np.nonzero((columns >= target[:, None]) & (columns < length[:, None]))
             p = np.full(len(row), 1 / 256)
             far = np.flatnonzero(column >= 2)
             r, j = row[far], column[far]
@@ -156,7 +197,11 @@ def _first_marks(keys: np.ndarray, there: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Features of texts; words seen before are not scored again."""
+    """Features of texts; words seen before are not scored again.
+
+    A word of more than LONGEST bytes (text without blanks, say) counts as as many words as it has
+    pieces, so that what it says in one place does not drown in the rest.
+    """
 
     def __init__(self, model: Model):
         self.model, self.known, self.ratios = model, np.zeros(0, np.uint64), np.zeros(0)
@@ -165,15 +210,17 @@ class Scorer:
         """Per text: mean ratio of its words, mean of what exceeds 3, log of their number (-1: none)."""
         lower = LOWER[data]
         starts, ends, first = words(lower, offsets, LETTER)
+        pieces = Pieces(starts, ends)
+        first = pieces.first[first]
         out = np.zeros((len(offsets) - 1, 3))
         out[:, 2] = -1
         if not len(starts):
             return out
-        hashes, at, back = np.unique(hash_words(lower, starts, ends), return_index=True, return_inverse=True)
+        hashes, at, back = np.unique(pieces.hashes(lower), return_index=True, return_inverse=True)
         new = ~np.isin(hashes, self.known, assume_unique=True)
         if len(self.known) + new.sum() > CACHE_WORDS:
             self.known, self.ratios, new = np.zeros(0, np.uint64), np.zeros(0), np.ones(len(hashes), bool)
-        fresh = self.model.word_ratios(lower, starts[at[new]], ends[at[new]])
+        fresh = self.model.piece_ratios(lower, pieces[at[new]])
         known = np.concatenate([self.known, hashes[new]])
         order = np.argsort(known)
         self.known, self.ratios = known[order], np.concatenate([self.ratios, fresh])[order]
@@ -217,7 +264,6 @@ def word_counts(sample: DataFrame) -> DataFrame:
         for rows, data, offsets in blocks(batches, 0):
             lower = LOWER[data]
             starts, ends, first = words(lower, offsets, LETTER)
-            ends = np.minimum(ends, starts + LONGEST)
             toxic = np.repeat(np.asarray(rows.column(1)) == 1, np.diff(first))
             hashes, at, back = np.unique(hash_words(lower, starts, ends), return_index=True, return_inverse=True)
             raw = lower.tobytes()
@@ -311,7 +357,7 @@ def score(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row of ``docs``.
 
     score compares the length-normalised log-likelihoods of the text's words under a toxic
-    and an ordinary Kneser-Ney model, over the letters of each word, so that rare words get
+    and an ordinary Kneser-Ney model, over all letters of each word, so that rare words get
     their probability from their parts; 1 if >= 0.5 is predicted. Texts without words score 0. Labels are taken from rows that are not held out. Without
     labels of both classes the score is constant. Repeated rows each get their line.
     """
