@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from pulselake.llm import cap_filters, hyperminhash
 from pulselake.llm.decontamination import report
+from pulselake.llm.lexical_search import search
 from pulselake.llm.line_dedup import dedup_lines
 from pulselake.llm.mixing import mix
 from pulselake.llm.phrase_dedup import remove_repeated_phrases
+from pulselake.llm.prefix_trie import rebuilt_trie
+from pulselake.llm.secret_scan import report as secrets
 from pulselake.llm.sharding import shard
 from pulselake.llm.suffix_dedup import remove_repeated_bytes
 from pulselake.llm.token_counts import count_tokens
@@ -72,6 +75,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24).drop("text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=10)
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_cap_filters": op2_cap_filters,
@@ -83,10 +98,35 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_sharding": op10_sharding,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+_KEYWORDS = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+# Kind, expression before the value, value, its least length; as the report lists them.
+_SECRETS = [
+    ("assign", f"({_KEYWORDS})[\\x22\\x27]?\\x20*[:=]\\x20*[\\x22\\x27]?", "[A-Za-z0-9+/_.=-]+", 8),
+    ("access", "(AKIA)", "[A-Z0-9]+", 12), ("hex", "()", "[0-9a-f]+", 32), ("github", "(gh[oprsu]_)", "[A-Za-z0-9]+", 36),
+    ("slack", "(xox[abprs]-)", "[A-Za-z0-9-]+", 10),
+    ("jwt", "(eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.])", "[A-Za-z0-9_-]+", 8),
+    ("private_key", "(-----BEGIN )", "(?:[A-Z0-9]+ )*PRIVATE KEY-----", 0)]
+
+
+def _spans(order: int, kind: str, head: str, value: str, least: int) -> str:
+    """The matches of one rule, by the pieces of text between them."""
+    return f"""
+        SELECT doc_id, {order} AS k, '{kind}' AS kind, start, start + length(found) AS stop
+        FROM (SELECT doc_id, found[i] AS found, CAST(list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+                     + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+              FROM (SELECT doc_id, pieces, found, unnest(generate_series(1, len(found))) AS i
+                    FROM (SELECT doc_id, string_split_regex(t, '{head}{value}') AS pieces,
+                                 regexp_extract_all(t, '{head}{value}') AS found FROM doc)))
+        WHERE length(regexp_extract(found, '^{head}({value})$', 2)) >= {least}"""
+
+
 ORACLE = {
     "op3_line_dedup": f"""
         WITH lines AS (
@@ -184,4 +224,67 @@ ORACLE = {
             SELECT node, min(other) AS component_id FROM r GROUP BY node)
         SELECT doc.doc_id, coalesce(size.n, 0) AS n_shingles, component_id, doc.doc_id = component_id AS kept
         FROM doc LEFT JOIN size USING (doc_id) JOIN reach ON doc.doc_id = reach.node""",
+    "op11_prefix_trie": r"""
+        WITH conv AS MATERIALIZED (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns,
+                   xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+                       string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0]))),
+                       lambda crc, x: xor(xor(crc, x) // 2, CASE WHEN xor(crc, x) % 2 = 1 THEN 3988292384 ELSE 0 END)),
+                       4294967295) % 4 AS h
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        rebuilt AS MATERIALIZED (
+            SELECT own.conv_id, list_concat(coalesce(head.turns, [])[1:own.h], own.turns[own.h + 1:]) AS path
+            FROM conv own LEFT JOIN conv head ON head.conv_id = own.conv_id - own.conv_id % 20),
+        node AS MATERIALIZED (
+            SELECT path[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends
+            FROM (SELECT conv_id, path, unnest(generate_series(0, len(path))) AS depth FROM rebuilt) GROUP BY 1, 2),
+        below AS (
+            SELECT path[1:depth - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+        own AS (
+            SELECT node.path, node.depth, CASE WHEN below.n IS NULL THEN 1 ELSE 0 END AS leaf,
+                   CASE WHEN node.depth = 0 THEN 0
+                        ELSE (n_convs - 1) * len(regexp_extract_all(node.path[node.depth].t, '[^\x20\x09-\x0D]+')) END AS saved
+            FROM node LEFT JOIN below USING (path)),
+        total AS (
+            SELECT path[1:d] AS path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+            FROM (SELECT path, leaf, saved, unnest(generate_series(0, depth)) AS d FROM own) GROUP BY 1)
+        SELECT node.conv_id, node.depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(below.n, 0) AS n_children,
+               CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, node.ends AS ends_sha256
+        FROM node JOIN total USING (path) LEFT JOIN below USING (path)
+        LEFT JOIN node up ON node.depth > 0 AND up.path = node.path[1:node.depth - 1]""",
+    "op12_lexical_search": f"""
+        WITH doc AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                              '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        item AS MATERIALIZED (
+            SELECT item_id, word, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                       '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark) GROUP BY ALL),
+        total AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM doc WHERE len(w) > 0),
+        part AS (SELECT r, 25 + (75 * len(w) * n) // l AS m FROM doc, total WHERE len(w) > 0),
+        tf AS MATERIALIZED (
+            SELECT r, doc_id, word, count(*) AS tf FROM (SELECT r, doc_id, unnest(w) AS word FROM doc)
+            WHERE word IN (SELECT word FROM item) GROUP BY ALL),
+        weight AS (
+            SELECT word, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS weight
+            FROM (SELECT word, count(*) AS df FROM tf GROUP BY word), total),
+        score AS (
+            SELECT item_id, r, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM tf JOIN weight USING (word) JOIN item USING (word) JOIN part USING (r) GROUP BY ALL)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+        WHERE rank <= 10""",
+    "op13_secret_scan": f"""
+        WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        span AS ({" UNION ALL ".join(_spans(k, *rule) for k, rule in enumerate(_SECRETS))}),
+        base AS (
+            SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                   count(*) FILTER (kind = 'hex') AS n_hex,
+                   string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, k) FILTER (k < 3) AS base,
+                   string_agg(concat_ws(':', kind, start, stop), ',' ORDER BY start, k) AS spans
+            FROM span GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM doc LEFT JOIN base USING (doc_id)""",
 }
