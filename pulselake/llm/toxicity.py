@@ -237,22 +237,31 @@ class Scorer:
 def shared_counts(docs: DataFrame) -> DataFrame:
     """(gram, n): how often each three bytes stand in the words of all ``docs``.
 
-    Tasks count before the shuffle; there are 2 ** 24 such grams at most.
+    Tasks count before the shuffle; there are 2 ** 24 such grams at most. A task adds in place to one
+    table of 32 bits and puts it out before a count can pass them.
     """
+    def rows(counts: np.ndarray) -> pa.RecordBatch:
+        grams = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(grams, pa.int64()), pa.array(counts[grams].astype(np.int64))], ["gram", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << 24, np.int64)
+        counts, held = np.zeros(1 << 24, np.uint32), 0
         for _, data, offsets in blocks(batches, 0):
+            if held + len(data) >= 1 << 32:
+                yield rows(counts)
+                counts[:], held = 0, 0
+            held += len(data)
             starts, ends, _ = words(data, offsets, LETTER)
             if not len(starts):
                 continue
             # A word's bytes with an edge on both sides: the byte next to it, if it is one.
             lower = np.full(len(data) + 2, EDGE, np.uint8)
             lower[1:-1] = np.where(LETTER[data], LOWER[data], EDGE)
-            b = lower.astype(np.int64)
+            b = lower.astype(np.int32)
             three = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
-            counts += np.bincount(three[(lower[1:-1] != EDGE)], minlength=1 << 24)
-        grams = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(grams, pa.int64()), pa.array(counts[grams], pa.int64())], ["gram", "n"])
+            np.add.at(counts, three[lower[1:-1] != EDGE], np.uint32(1))
+        yield rows(counts)
 
     return (docs.selectExpr("cast(text as string) text").mapInArrow(run, "gram long, n long")
             .groupBy("gram").agg(F.sum("n").alias("n")))
@@ -319,8 +328,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, calibrat
     counts = np.stack([found[c].to_numpy() for c in ("ordinary", "toxic")], 1).astype(float)
     if not counts.sum(0).all():
         return None, float(bool(counts.sum()) and not counts[:, 0].any())
+    vocabulary = found["word"].to_pylist()
+    del found
     grams = shared_counts(docs).toArrow()
-    model = Model(found["word"].to_pylist(), counts, grams["gram"].to_numpy(), grams["n"].to_numpy().astype(float))
+    three, seen = grams["gram"].to_numpy(), grams["n"].to_numpy().astype(float)
+    del grams
+    model = Model(vocabulary, counts, three, seen)
     rows = features(texts.filter("NOT fit").select("text", "toxic"), model).collect()
     if len({r["toxic"] for r in rows}) < 2:
         rows = features(texts.select("text", "toxic"), model).collect()
