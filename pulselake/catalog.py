@@ -169,6 +169,18 @@ def decode_events(spark, sf_dir):
     return _naive(silver.heart_rate(good))
 
 
+@query
+def decode_topic_messages(spark, sf_dir):
+    """Events from messages as a topic delivers them, each with the place it was read at."""
+    messages = raw.encode_events(testdata.raw_heart_rate(spark, sf_dir)).select(
+        F.encode("value", "UTF-8").alias("value"), F.lit("heartrate").alias("topic"),
+        (F.col("key").cast("bigint") % 6).cast("int").alias("partition"),
+        F.get_json_object("value", "$.event_id").cast("bigint").alias("offset"),
+        F.timestamp_seconds(F.get_json_object("value", "$.timestamp").cast("bigint") + 2).alias("timestamp"))
+    good, _ = raw.split_corrupt(raw.decode_events(messages, with_id=True, lineage=True))
+    return _naive(good.select("event_id", "user_id", "heart_rate", "_topic", "_partition", "_offset", "_message_time"))
+
+
 LANDED = ("event_id bigint, user_id bigint, heart_rate bigint, timestamp bigint, meta string, year string,"
           " month string, day string, hour string")
 
@@ -293,6 +305,39 @@ def scd2_merge(spark, sf_dir):
     return keys.scd2_merge(history, later, *how)
 
 
+@query
+def dim_users_history(spark, sf_dir):
+    """The versions of the users from three files, later ones with older updates in them."""
+    lake = _lake(spark, "history")
+    lake.write(testdata.raw_activities(spark, sf_dir), "bronze", "raw_activities")
+    files = testdata.user_files(spark, sf_dir)
+    for delivery in range(3):
+        lake.write(files.filter(F.col("delivery") == delivery).drop("delivery"), "bronze", "raw_users")
+        refresh.build_dimensions(lake)
+    return lake.read("silver", "dim_users_history").select(
+        "user_id", "first_name", "address", "start_date", "end_date",
+        keys.surrogate_key("user_id", "start_date", algorithm="md5").alias("user_sk"))
+
+
+@query
+def fact_by_version(spark, sf_dir):
+    """Readings with the record of their user and activity that was valid on their day, after an increment
+    whose user file also holds older updates."""
+    lake = _lake(spark, "versions")
+    lake.write(testdata.raw_activities(spark, sf_dir), "bronze", "raw_activities")
+    lake.write(testdata.raw_heart_rate(spark, sf_dir), "bronze", "heartrate_stream")
+    files = testdata.user_files(spark, sf_dir)
+    lake.write(files.filter("delivery > 0").drop("delivery"), "bronze", "raw_users")
+    refresh.full_refresh(lake)
+    lake.write(files.filter("delivery = 0").drop("delivery"), "bronze", "raw_users")
+    refresh.incremental_refresh(lake, arrived_since=datetime.date.today() + datetime.timedelta(days=2))
+    fact = lake.read("gold", "fct_heart_rate", extra=("user_sk", "activity_sk"))
+    users = lake.read("gold", "dim_users_history").select("user_sk", "address", F.col("start_date").alias("valid_from"))
+    activities = lake.read("gold", "dim_activities_history").select("activity_sk", "activity_name")
+    return fact.join(users, "user_sk", "left").join(F.broadcast(activities), "activity_sk", "left").select(
+        "user_key", "event_date", "event_time", "heart_rate", "previous_heart_rate", "address", "valid_from", "activity_name")
+
+
 # Joins ------------------------------------------------------------------------
 
 def _reading_columns(df: DataFrame, *more: str) -> DataFrame:
@@ -477,6 +522,16 @@ def dim_date(spark, sf_dir):
     return days.join(per_day, "date_day", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
 
 
+@query
+def calendar_month_ends(spark, sf_dir):
+    """The calendar of the readings with month ends, and the readings of each day."""
+    last = silver.last_readings(_hr(spark, sf_dir))
+    per_day = (_hr(spark, sf_dir).groupBy(F.to_date("event_timestamp").alias("date_day"))
+               .agg(F.count(F.lit(1)).alias("readings")))
+    days = dims.calendar_of(last, "event_timestamp").select("date_day", "month_end_date", "year_end_date")
+    return days.join(per_day, "date_day", "left").withColumn("readings", F.coalesce("readings", F.lit(0)))
+
+
 @query
 def dim_time(spark, sf_dir):
     """The minutes of the day, with the readings of each."""
@@ -574,6 +629,15 @@ def dq_lag_continuity(spark, sf_dir):
     return quality.broken_previous(rows, hot).select("event_id", "user_key", "previous_heart_rate", "expected")
 
 
+@query
+def dq_chain_continuity(spark, sf_dir):
+    """The user's days on which stored previous values do not continue, told without sorting readings."""
+    hr = _hr(spark, sf_dir)
+    fact = gold.fct_heart_rate(hr).withColumn("previous_heart_rate", F.when(
+        F.col("heart_rate") > 200, F.lit(0)).otherwise(F.col("previous_heart_rate")))
+    return quality.broken_chains(fact, gold.user_days(silver.last_readings(hr)))
+
+
 @query
 def dq_first_row_null(spark, sf_dir):
     """A fact in which first readings above 120 have a previous one and later ones above 200 lack it."""
@@ -605,6 +669,17 @@ def dq_quarantine(spark, sf_dir):
         F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
+@query
+def rejected_readings(spark, sf_dir):
+    """Readings set aside by a merge of dirty ones; the same load a second time changes nothing."""
+    lake = _lake(spark, "rejected")
+    dirty = _dirty(spark, sf_dir).select(*schemas.HEART_RATE_CLEANED.names)
+    for _ in range(2):
+        refresh.merge_readings(lake, dirty, load="first")
+    return lake.read("silver", "heart_rate_rejected").select(
+        "event_id", F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
 # Streaming --------------------------------------------------------------------
 
 def _in_two_runs(spark: SparkSession, sf_dir: str, root: str,
@@ -645,6 +720,16 @@ def stream_dedup(spark, sf_dir):
     return _naive(lake.read("silver", "heart_rate_cleaned"))
 
 
+@query
+def stream_compacted(spark, sf_dir):
+    """The same after the deltas of the streams have been taken into their days."""
+    root = shared_dir(spark, "compacted")
+    lake = Lake(spark, f"{root}/lake")
+    _in_two_runs(spark, sf_dir, root, lambda events: jobs.dedup(jobs.flatten(events), lake), copies=True)
+    refresh.compact(lake)
+    return _naive(lake.read("silver", "heart_rate_cleaned"))
+
+
 @query
 def stream_daily_stats(spark, sf_dir):
     """Every day, the open one too; copies delivered again count once."""
@@ -652,8 +737,7 @@ def stream_daily_stats(spark, sf_dir):
     lake = Lake(spark, f"{root}/lake")
     _in_two_runs(spark, sf_dir, root, lambda events: jobs.daily_stats(
         jobs.flatten(events), lake, f"{root}/out"), copies=True)
-    return spark.read.schema("user_id bigint, activity_id bigint, event_date date, max_heart_rate bigint,"
-                             " min_heart_rate bigint, avg_heart_rate double").parquet(f"{root}/out")
+    return jobs.read_daily_stats(spark, f"{root}/out")
 
 
 @query
@@ -745,3 +829,19 @@ def incremental_refresh(spark, sf_dir):
     refresh.incremental_refresh(lake, arrived_since=datetime.date.today() - datetime.timedelta(days=1))
     known = lake.read("gold", "dim_users").select(F.col("user_id").alias("user_key"), "gender")
     return lake.read("gold", "fct_heart_rate").join(known, "user_key", "left")
+
+
+@query
+def increment_a_year_late(spark, sf_dir):
+    """A refresh, then an increment of readings that are dated a year before all others."""
+    lake = _lake(spark, "late-year")
+    events = testdata.raw_heart_rate(spark, sf_dir)
+    late = F.col("heart_rate") > 203
+    lake.write(testdata.raw_users(spark, sf_dir), "bronze", "raw_users")
+    lake.write(testdata.raw_activities(spark, sf_dir), "bronze", "raw_activities")
+    lake.write(events.filter(~late), "bronze", "heartrate_stream")
+    refresh.full_refresh(lake)
+    old = events.filter(late).withColumn("timestamp", F.col("timestamp") - 366 * 86400)
+    lake.write(old, "bronze", "heartrate_stream")
+    refresh.incremental_refresh(lake)
+    return lake.read("gold", "fct_heart_rate")

@@ -17,28 +17,36 @@ from pyspark.sql import functions as F
 from pulselake.operators.skew import Hot, hot_keys, join_back, split_by_keys
 
 _SLICE = ["_hour", "_instant", "_part"]
-_PARTS = 1024  # pieces of one instant in an hour that is itself hot
+_PARTS = 256  # pieces at most that one crowded instant is cut into
 _FIRST = -2**62  # stands for a missing time or id, which sorts first
 
 
 def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFrame:
     """Add slice columns whose order agrees with (ts, tie) for each key.
 
-    A slice is an hour. An hour with more than ``limit`` rows is cut by instant
-    and by range of the tie column; there are at most rows/limit such hours,
-    and event times are whole seconds, so at most 3600 instants in each.
+    A slice is an hour. An hour with more than ``limit`` rows is cut by instant; event times are
+    whole seconds, so at most 3600 of them. An instant that is itself above ``limit`` is cut at quantiles
+    of its own ties, however these are distributed, into as many pieces as it is too large. There are
+    at most rows/limit such hours and instants, so both lists may be broadcast.
     """
     rows = rows.withColumn("_hour", F.coalesce(F.floor(F.unix_seconds(ts) / F.lit(3600)), F.lit(_FIRST)))
-    dense = (rows.groupBy(key, "_hour")
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.min(tie).cast("double").alias("_lo"), F.max(tie).cast("double").alias("_hi"))
-             .filter(F.col("_n") > limit).drop("_n"))
-    rows = rows.join(F.broadcast(dense), [key, "_hour"], "left")
-    cut = F.col("_lo").isNotNull()
-    position = (F.col(tie).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1.0))
-    return (rows.withColumn("_instant", F.when(cut, F.coalesce(F.unix_micros(ts), F.lit(_FIRST))).otherwise(F.lit(0)))
-            .withColumn("_part", F.when(cut, F.coalesce(F.floor(position * _PARTS), F.lit(_FIRST))).otherwise(F.lit(0)))
-            .drop("_lo", "_hi"))
+    instant = F.coalesce(F.unix_micros(ts), F.lit(_FIRST))
+    hours = (rows.groupBy(key, "_hour").agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > limit).select(key, "_hour", F.lit(True).alias("_dense")))
+    rows = (rows.join(F.broadcast(hours), [key, "_hour"], "left")
+            .withColumn("_instant", F.when(F.col("_dense"), instant).otherwise(F.lit(0))))
+    crowded = (rows.filter("_dense").groupBy(key, "_instant").agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > limit).select(key, "_instant", F.least(F.ceil(F.col("_n") / limit) * 2, F.lit(_PARTS)).alias("_pieces")))
+    steps = F.array(*[F.lit(i / _PARTS) for i in range(1, _PARTS)])
+    # Quantiles of a sketch, merged map-side; every n-th of them for fewer pieces.
+    cuts = (rows.filter("_dense").join(F.broadcast(crowded), [key, "_instant"])
+            .groupBy(key, "_instant").agg(F.percentile_approx(tie, steps, 10 * _PARTS).alias("_all"), F.first("_pieces").alias("_pieces"))
+            .select(key, "_instant", F.array_distinct(F.filter("_all", lambda x, i: (
+                F.pmod(i + 1, F.greatest(F.floor(F.lit(_PARTS) / F.col("_pieces")), F.lit(1))) == 0))).alias("_cuts")))
+    part = F.when(F.col(tie).isNull(), F.lit(_FIRST)).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(tie))).cast("long"))
+    return (rows.join(F.broadcast(cuts), [key, "_instant"], "left")
+            .withColumn("_part", F.when(F.col("_cuts").isNotNull(), part).otherwise(F.lit(0)))
+            .drop("_dense", "_cuts"))
 
 
 def _previous_whole(rows: DataFrame, key: str, ts: str, tie: str, value: str, out: str) -> DataFrame:

@@ -167,6 +167,18 @@ SELECT user_id, address, blood_type, start_date,
 ORACLE["scd2_history"] = _SCD2 + """, md5(user_id || '|' || CAST(start_date AS VARCHAR)) AS user_sk FROM versions"""
 ORACLE["scd2_merge"] = _SCD2 + " FROM versions"
 
+_VERSIONS = """daily AS (
+  SELECT o_custkey AS user_id, CAST(DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS DATE) AS start_date,
+         max(o_orderpriority) AS address FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
+changed AS (
+  SELECT * FROM daily QUALIFY address IS DISTINCT FROM lag(address) OVER (PARTITION BY user_id ORDER BY start_date)),
+versions AS (
+  SELECT *, lead(start_date) OVER w AS end_date, row_number() OVER w AS nth
+  FROM changed WINDOW w AS (PARTITION BY user_id ORDER BY start_date))"""
+ORACLE["dim_users_history"] = f"""WITH {USERS}, {_VERSIONS}
+SELECT v.user_id, first_name, v.address, v.start_date, v.end_date,
+  md5(v.user_id || '|' || CAST(v.start_date AS VARCHAR)) AS user_sk FROM versions v JOIN users USING (user_id)"""
+
 # Joins
 _STRANGERS = """hr AS (SELECT * REPLACE (
   CASE WHEN heart_rate % 2 = 1 THEN -user_id ELSE user_id END AS user_id,
@@ -235,7 +247,23 @@ ORACLE["fct_heart_rate_by_day"] = ORACLE["medallion_refresh"] = _FACT
 ORACLE["incremental_refresh"] = f"""WITH known AS (WITH {USERS} SELECT user_id AS user_key, gender FROM users),
 whole AS ({_FACT}) SELECT whole.*, gender FROM whole LEFT JOIN known USING (user_key)"""
 
+ORACLE["fact_by_version"] = f"""WITH {FACT}, {_VERSIONS}, {ACTIVITIES}
+SELECT user_key, event_date, event_time, heart_rate, previous_heart_rate, address, v.start_date AS valid_from, activity_name
+FROM fact LEFT JOIN activities USING (activity_id) LEFT JOIN versions v ON v.user_id = user_key
+  AND (event_date >= v.start_date OR nth = 1) AND (event_date < v.end_date OR v.end_date IS NULL)"""
+ORACLE["increment_a_year_late"] = f"""WITH given AS (WITH {HR} SELECT * FROM hr), hr AS (
+  SELECT * REPLACE (event_timestamp - CASE WHEN heart_rate > 203 THEN INTERVAL 366 DAY ELSE INTERVAL 0 DAY END AS event_timestamp,
+                    CAST(event_timestamp - CASE WHEN heart_rate > 203 THEN INTERVAL 366 DAY ELSE INTERVAL 0 DAY END AS DATE) AS event_date)
+  FROM given), {FACT[len(HR) + 2:]} SELECT user_key, heart_rate, event_date, event_time, previous_heart_rate,
+  max_heart_rate, min_heart_rate, avg_heart_rate, activity_id, latitude, longitude FROM fact"""
+
 # Dimensions
+ORACLE["calendar_month_ends"] = f"""WITH {HR}, per_day AS (SELECT event_date AS date_day, count(*) AS n FROM hr GROUP BY 1),
+ends AS (SELECT least(DATE '2024-01-01', date_trunc('year', min(event_date))) AS lo,
+                greatest(DATE '2026-12-31', make_date(CAST(year(max(event_date)) AS BIGINT), 12, 31)) AS hi FROM hr),
+days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date_day FROM ends)
+SELECT date_day, last_day(date_day) AS month_end_date, make_date(year(date_day), 12, 31) AS year_end_date,
+  CAST(coalesce(n, 0) AS BIGINT) AS readings FROM days LEFT JOIN per_day USING (date_day)"""
 ORACLE["dim_date"] = f"""WITH {_DAYS}, per_day AS (
   SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS orders FROM orders GROUP BY 1)
 SELECT date AS date_day, date, date - 1 AS prior_date_day, date + 1 AS next_date_day,
@@ -290,6 +318,12 @@ FROM tampered WHERE heart_rate > 200"""
 ORACLE["dq_lag_continuity"] = f"""WITH {FACT}
 SELECT event_id, user_key, CAST(0 AS BIGINT) AS previous_heart_rate, previous_heart_rate AS expected
 FROM fact WHERE heart_rate > 200"""
+ORACLE["dq_chain_continuity"] = f"WITH {FACT} SELECT DISTINCT user_key, event_date FROM fact WHERE heart_rate > 200"
+ORACLE["rejected_readings"] = f"""WITH {DIRTY} SELECT event_id, concat_ws(',',
+    CASE WHEN user_id IS NULL THEN 'not_null(user_id)' END,
+    CASE WHEN latitude < -90 OR latitude > 90 THEN 'range(latitude)' END,
+    CASE WHEN longitude < -180 OR longitude > 180 THEN 'range(longitude)' END) AS failed_rules
+FROM dirty WHERE user_id IS NULL OR NOT coalesce(latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180, true)"""
 ORACLE["dq_first_row_null"] = f"""WITH {HR}, ranked AS (
   SELECT user_id AS user_key, heart_rate, date_trunc('second', event_timestamp) AS second,
     row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS nth FROM hr),
@@ -314,7 +348,9 @@ ORACLE["dq_quarantine"] = f"""WITH {DIRTY}, named AS (
 SELECT event_id, failed_rules <> '' AS quarantined, failed_rules FROM named"""
 
 # Streaming
-ORACLE["stream_flatten"] = ORACLE["stream_dedup"] = f"WITH {HR} {_SILVER}"
+ORACLE["decode_topic_messages"] = f"""WITH {HR} SELECT event_id, user_id, heart_rate, 'heartrate' AS _topic,
+  CAST(user_id % 6 AS INTEGER) AS _partition, event_id AS _offset, event_timestamp + INTERVAL 2 SECOND AS _message_time FROM hr"""
+ORACLE["stream_flatten"] = ORACLE["stream_dedup"] = ORACLE["stream_compacted"] = f"WITH {HR} {_SILVER}"
 ORACLE["stream_daily_stats"] = f"WITH {HR} {_DAILY}"
 ORACLE["stream_malformed_kept"] = f"""WITH {HR} SELECT CASE WHEN heart_rate > 180 THEN 'malformed' ELSE 'good' END AS status,
   CASE WHEN heart_rate <= 180 THEN event_id END AS event_id, CASE WHEN heart_rate <= 180 THEN heart_rate END AS heart_rate,

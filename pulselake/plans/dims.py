@@ -44,6 +44,22 @@ def dim_date_covering(df: DataFrame, column: str) -> DataFrame:
     return _date_columns(bounds.select(F.explode(F.sequence(F.col("first"), last)).alias("date")))
 
 
+def with_month_end(days: DataFrame) -> DataFrame:
+    """The last day of each day's month beside the documented columns."""
+    return days.withColumn("month_end_date", F.last_day("date_day"))
+
+
+def calendar_of(df: DataFrame, column: str, first: datetime.date = FIRST_DAY, last: datetime.date = LAST_DAY) -> DataFrame:
+    """The date dimension from ``first`` to ``last``, extended by the whole years before and after
+    that ``column`` has days in. No row of ``df`` but its least and greatest day is needed."""
+    day = F.to_date(column)
+    ends = df.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    bounds = ends.select(
+        F.least(F.lit(first), F.trunc("lo", "YEAR")).alias("first"),
+        F.greatest(F.lit(last), F.make_date(F.year("hi"), F.lit(12), F.lit(31))).alias("last"))
+    return with_month_end(_date_columns(bounds.select(F.explode(F.sequence("first", "last")).alias("date"))))
+
+
 def dim_time(spark: SparkSession) -> DataFrame:
     """One row per minute of the day."""
     ts = F.timestamp_seconds(F.col("id") * 60)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pulselake.functions.calendar import minute_of_day, time_of_day
 from pulselake.operators import ordered
-from pulselake.operators.skew import Hot, checked_broadcast, hot_keys, left_join, split_by_keys
+from pulselake.operators.keys import version_on, versions_by_key
+from pulselake.operators.skew import Hot, checked_broadcast, hot_keys, join_back, left_join, split_by_keys
 from pulselake.schemas import FCT_HEART_RATE
 
 DAILY_GROUP = ["user_key", "activity_id", "event_date"]
@@ -77,43 +78,86 @@ def _laid_out_by_day(rows: DataFrame, before: DataFrame) -> DataFrame:
     user_day = ["event_date", "_cell", "user_key"]
     order = Window.partitionBy(*user_day).orderBy("_reading", "event_timestamp", "event_id")
     group = Window.partitionBy(*user_day, "activity_id", "_reading")
-    return (both.withColumn("previous_heart_rate", F.lag("heart_rate").over(order))
+    carried = {"previous_heart_rate": F.lag("heart_rate").over(order)}
+    if "user_sk" in before.columns:  # looked up once for each user and day
+        carried["user_sk"] = F.first("user_sk").over(order)
+    return (both.withColumns(carried)
             .withColumns({name: c.over(group) for name, c in daily_stats().items()})
             .filter("_reading").drop("_reading", "_cell"))
 
 
+def in_scope(day: Column, since: datetime.date | None, days: list[datetime.date] | None) -> Column:
+    """Whether a day is one of ``days`` or, without such a list, ``since`` or later."""
+    if days is not None:
+        return F.coalesce(day.isin(days), F.lit(False))
+    return F.coalesce(day >= F.lit(since), F.lit(False)) if since else F.lit(True)
+
+
+def user_days(last: DataFrame, since: datetime.date | None = None,
+              days: list[datetime.date] | None = None) -> DataFrame:
+    """Each user's days in scope: (user_key, event_date, last_heart_rate, before), the last value of the
+    day and the last reading of the user's day before it, NULL on the first one.
+
+    ``last`` has a row for each user and day (``silver.last_readings``); of users without a
+    day in scope none is looked at.
+    """
+    day = F.to_date("event_timestamp")
+    if since or days is not None:
+        here = last.filter(in_scope(day, since, days)).select("user_id").distinct()
+        last = last.join(here, "user_id", "left_semi")
+    # A user's days, one row each: a number the calendar bounds.
+    earlier = Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")
+    return (last.select(F.col("user_id").alias("user_key"), day.alias("event_date"),
+                        F.col("heart_rate").alias("last_heart_rate"),
+                        F.lag(F.struct("event_timestamp", "event_id", "heart_rate")).over(earlier).alias("before"))
+            .filter(in_scope(F.col("event_date"), since, days)))
+
+
 def fact_by_day(hr: DataFrame, last: DataFrame, since: datetime.date | None = None,
-                hot: Hot | None = None) -> DataFrame:
+                hot: Hot | None = None, days: list[datetime.date] | None = None,
+                users: DataFrame | None = None, activities: DataFrame | None = None) -> DataFrame:
     """The fact of the readings in ``hr``, ready to be written by day.
 
     ``last`` has each user's last reading of each day (``silver.last_readings``)
-    over all days, also those before ``since``, from which day on ``hr`` starts.
+    over all days, also those that ``hr`` leaves out: it holds the days in ``days`` or, without
+    them, from ``since`` on. ``users`` and ``activities`` are histories (``silver.users_history``);
+    with them each reading carries the keys of the versions valid on its day.
     """
     hot = hot_keys(hr, "user_id") if hot is None else hot
     day = F.to_date("event_timestamp").alias("event_date")
-    # A user's days, one row each: a number the calendar bounds.
-    earlier = Window.partitionBy("user_id").orderBy("event_timestamp", "event_id")
-    before = last.select(F.col("user_id").alias("user_key"), day, F.lag("heart_rate").over(earlier).alias("heart_rate"))
-    if since:
-        before = before.filter(F.col("event_date") >= F.lit(since))
+    before = user_days(last, since, days)
+    names = [*FCT_HEART_RATE.names]
+    if users is not None:
+        versions = versions_by_key(users, "user_id", "user_sk").withColumnRenamed("user_id", "user_key")
+        before = (left_join(before, versions, "user_key", hot)
+                  .withColumn("user_sk", version_on(F.col("event_date"), F.col("versions"))).drop("versions"))
+        names.append("user_sk")
     rows = hr.withColumnRenamed("user_id", "user_key").withColumn("event_date", day)
     cold, _ = split_by_keys(rows, "user_key", hot.keys)
-    cold_before, _ = split_by_keys(before, "user_key", hot.keys)
-    fact = (_laid_out_by_day(cold, cold_before)
-            .withColumn("event_time", time_of_day(F.col("event_timestamp"))).select(*FCT_HEART_RATE.names))
-    if not hot:
-        return fact
-    _, hot_rows = split_by_keys(hr, "user_id", hot.keys)
-    if since:
-        _, hot_last = split_by_keys(last, "user_id", hot.keys)
-        newest = F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r")
-        carried = (hot_last.filter(F.to_date("event_timestamp") < F.lit(since))
-                   .groupBy("user_id").agg(newest).select("user_id", "r.*"))
-        hot_rows = hot_rows.unionByName(carried, allowMissingColumns=True)
-    hot_fact = fct_heart_rate(hot_rows, hot)
-    if since:
-        hot_fact = hot_fact.filter(F.col("event_date") >= F.lit(since))
-    return fact.unionByName(hot_fact.hint("rebalance", F.col("event_date")))
+    cold_before, hot_before = split_by_keys(before, "user_key", hot.keys)
+    seeds = cold_before.select("user_key", "event_date", "before.heart_rate", *names[len(FCT_HEART_RATE.names):])
+    fact = (_laid_out_by_day(cold, seeds)
+            .withColumn("event_time", time_of_day(F.col("event_timestamp"))).select(*names))
+    if hot:
+        _, hot_rows = split_by_keys(hr, "user_id", hot.keys)
+        scoped = since is not None or days is not None
+        if scoped:  # a user's last reading before each run of days that is in scope
+            outside = hot_before.filter(~in_scope(F.to_date("before.event_timestamp"), since, days))
+            carried = outside.filter("before IS NOT NULL").select(F.col("user_key").alias("user_id"), "before.*")
+            hot_rows = hot_rows.unionByName(carried, allowMissingColumns=True)
+        hot_fact = fct_heart_rate(hot_rows, hot)
+        if scoped:
+            hot_fact = hot_fact.filter(in_scope(F.col("event_date"), since, days))
+        if users is not None:  # a row for each hot user and day
+            keys = hot_before.select("user_key", "event_date", "user_sk")
+            hot_fact = join_back(hot_fact, keys, ["user_key", "event_date"])
+        fact = fact.unionByName(hot_fact.hint("rebalance", F.col("event_date")))
+    if activities is not None:
+        versions = checked_broadcast(versions_by_key(activities, "activity_id", "activity_sk"))
+        fact = (fact.join(versions, "activity_id", "left")
+                .withColumn("activity_sk", version_on(F.col("event_date"), F.col("versions")))
+                .select(*names, "activity_sk"))
+    return fact
 
 
 # Star joins -------------------------------------------------------------------

@@ -1,21 +1,33 @@
-"""Full and incremental refresh of all layers, with checks that gate each step."""
+"""Full and incremental refresh of all layers: written aside, checked, then published together."""
 
 from __future__ import annotations
 
 import datetime
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.functions.calendar import CATEGORY_NAMES
 from pulselake.operators import quality as q
-from pulselake.operators.keys import dedup_events
+from pulselake.operators.keys import EVENT_KEY, changed_versions, dedup_events, dedup_latest
 from pulselake.operators.skew import Hot
 from pulselake.plans import dims, gold, silver
 from pulselake.registry import Lake
-from pulselake.session import remove_path, shared_dir
+from pulselake.session import side_by_side
 
 DIMENSIONS = ["dim_users", "dim_activities", "dim_date", "dim_time"]
+HISTORIES = ["dim_users_history", "dim_activities_history"]
+
+# A reading outside these days is set aside: it would stretch the calendar.
+EVENT_DAYS = (datetime.date(2000, 1, 1), datetime.date(2099, 12, 31))
+# A delivery of users or activities of which more break a rule is refused as a whole.
+REJECTED_SHARE = 0.1
+
+
+def _event_day_in_bounds() -> q.Rule:
+    low, high = EVENT_DAYS
+    return q.Rule(f"event_day({low},{high})", ~F.to_date("event_timestamp").between(F.lit(low), F.lit(high)))
 
 
 def silver_rules() -> dict[str, list[q.Rule]]:
@@ -25,10 +37,12 @@ def silver_rules() -> dict[str, list[q.Rule]]:
         "dim_activities": [*q.not_null("activity_id"), q.castable("start_date", "date"),
                            q.all_null("end_date")],
         "heart_rate_cleaned": [*q.not_null("user_id", "heart_rate"),
-                               q.castable("event_timestamp", "timestamp"),
+                               q.castable("event_timestamp", "timestamp"), _event_day_in_bounds(),
                                q.in_range("latitude", -90, 90), q.in_range("longitude", -180, 180)],
         "dim_date": q.not_null("date_day"),
         "dim_time": [*q.not_null("time_of_day"), q.accepted_values("time_category", CATEGORY_NAMES)],
+        "dim_users_history": q.not_null("user_sk", "user_id", "start_date"),
+        "dim_activities_history": q.not_null("activity_sk", "activity_id", "start_date"),
     }
 
 
@@ -37,34 +51,84 @@ def fact_rules() -> list[q.Rule]:
                       "max_heart_rate", "min_heart_rate", "avg_heart_rate")
 
 
-def split_readings(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readings that keep all rules, the others with the names of those they break)."""
-    flagged = q.flag(readings, silver_rules()["heart_rate_cleaned"])
+def split(rows: DataFrame, rules: list[q.Rule]) -> tuple[DataFrame, DataFrame]:
+    """(rows that keep all rules, the others with the names of those they break)."""
+    flagged = q.flag(rows, rules)
     return (flagged.filter("NOT quarantined").drop("failed_rules", "quarantined"),
             flagged.filter("quarantined").drop("quarantined"))
 
 
+def split_readings(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split(readings, silver_rules()["heart_rate_cleaned"])
+
+
+def _listed(days: list[datetime.date], column: str) -> str:
+    return f"{column} IN ({', '.join(f"date'{d}'" for d in days)})" if days else "false"
+
+
+def build_dimensions(lake: Lake) -> None:
+    """Users and activities from bronze: the newest sound record of each, those set aside, and
+    every version there has been, which the new records are merged into."""
+    sources = [
+        ("raw_users", "dim_users", "user_id", silver.users, silver.users_history),
+        ("raw_activities", "dim_activities", "activity_id", silver.activities, silver.activities_history),
+    ]
+    with lake.transaction() as draft:
+        reports, writes = [], []
+        for raw, key, id_column, clean, history in sources:
+            records = clean(draft.read("bronze", raw), keep=("last_update",))
+            rules = silver_rules()[key]
+            reports.append(q.report(records, key, rules))
+            good, bad = split(records, rules)
+            known = draft.read_if_any("silver", f"{key}_history", extra=("seen",))
+            tables = {key: dedup_latest(good, id_column, "last_update").drop("last_update"),
+                      f"{key}_rejected": bad.drop("last_update").distinct(), f"{key}_history": history(good, known)}
+            writes += [partial(draft.write, df, "silver", name) for name, df in tables.items()]
+        q.gate(reports, allowed=REJECTED_SHARE)
+        side_by_side(*writes)
+
+
+def build_calendar(lake: Lake, first_day: datetime.date = dims.FIRST_DAY, last_day: datetime.date = dims.LAST_DAY) -> None:
+    """The days from ``first_day`` to ``last_day`` and the whole years of all other readings."""
+    lake.write(dims.calendar_of(lake.read("silver", "last_readings"), "event_timestamp", first_day, last_day),
+               "silver", "dim_date")
+
+
+def _streamed(lake: Lake) -> DataFrame:
+    """What streams have put beside the cleaned readings."""
+    return lake.read_if_any("silver", "heart_rate_delta").withColumn("load", F.lit("stream"))
+
+
 def build_silver(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
                  last_day: datetime.date = dims.LAST_DAY) -> None:
-    lake.write(silver.latest_users(lake.read("bronze", "raw_users")), "silver", "dim_users")
-    lake.write(silver.latest_activities(lake.read("bronze", "raw_activities")), "silver", "dim_activities")
-    good, bad = split_readings(silver.distinct_heart_rate(lake.read("bronze", "heartrate_stream")))
-    lake.write(good, "silver", "heart_rate_cleaned")
-    lake.write(bad, "silver", "heart_rate_rejected")
-    lake.write(silver.last_readings(lake.read("silver", "heart_rate_cleaned")), "silver", "last_readings")
-    lake.write(dims.dim_date(lake.spark, first_day, last_day), "silver", "dim_date")
-    lake.write(dims.dim_time(lake.spark), "silver", "dim_time")
-
-
-def check_silver(lake: Lake, since: datetime.date | None = None) -> list:
-    """Audit the written tables, of the readings only the days from ``since`` on;
+    raw = lake.read("bronze", "heartrate_stream", extra=("load",))
+    good, bad = split_readings(silver.heart_rate(raw, keep=("load",)))
+    good = good.drop("load").unionByName(_streamed(lake).drop("load"))
+    with lake.transaction() as draft:
+        side_by_side(
+            partial(build_dimensions, draft),
+            partial(draft.write, dedup_events(good), "silver", "heart_rate_cleaned"),
+            partial(draft.write, dedup_events(bad, [*EVENT_KEY, "load"]), "silver", "heart_rate_rejected"),
+            partial(draft.write, dims.dim_time(lake.spark), "silver", "dim_time"))
+        draft.write(silver.last_readings(draft.read("silver", "heart_rate_cleaned")), "silver", "last_readings")
+        build_calendar(draft, first_day, last_day)
+
+
+def _scope(column: str, since: datetime.date | None, days: list[datetime.date] | None) -> str | None:
+    if days is not None:
+        return _listed(days, column)
+    return f"{column} >= date'{since}'" if since else None
+
+
+def check_silver(lake: Lake, since: datetime.date | None = None, days: list[datetime.date] | None = None) -> list:
+    """Audit the written tables, of the readings only ``days`` or the days from ``since`` on;
     one job, one aggregate per table."""
-    days = {"heart_rate_cleaned": f"event_day >= date'{since}'"} if since else {}
+    scopes = {"heart_rate_cleaned": _scope("event_day", since, days)}
     times = lake.read("silver", "dim_time")
     covered = q.coverage(times, "time_category", CATEGORY_NAMES)
     empty = covered.agg(F.count_if(F.col("rows") == 0).alias("violations"),
                         F.count(F.lit(1)).alias("total"))
-    reports = [q.report(lake.read("silver", key, days.get(key)), key, rules) for key, rules in silver_rules().items()]
+    reports = [q.report(lake.read("silver", key, scopes.get(key)), key, rules) for key, rules in silver_rules().items()]
     reports.append(empty.select(F.lit("dim_time").alias("table"), F.lit("coverage(time_category)").alias("rule"),
                                 "violations", "total"))
     return q.gate(reports)
@@ -72,85 +136,143 @@ def check_silver(lake: Lake, since: datetime.date | None = None) -> list:
 
 def publish(lake: Lake, key: str, rules: list[q.Rule] | None = None) -> None:
     """Copy a dimension from silver to gold as it is, once its rules hold."""
-    df = lake.read("silver", key)
+    extra = lake.table("gold", key).extra.names
+    df = lake.read("silver", key, extra=extra)
     rules = silver_rules()[key] if rules is None else rules
     if rules:
         q.gate([q.report(df, key, rules)])
     lake.write(df, "gold", key)
 
 
-def check_gold(lake: Lake, since: datetime.date | None = None) -> list:
-    """Audit the fact, or its days from ``since`` on. What is a user's first reading there
-    is told from the last readings of the days before."""
-    fact = lake.read("gold", "fct_heart_rate", f"event_date >= date'{since}'" if since else None)
-    groups = q.reconcile_groups(fact)
-    newcomers = fact
-    if since:
-        known = (lake.read("silver", "last_readings", f"event_day < date'{since}'")
-                 .select(F.col("user_id").alias("user_key")).distinct())
-        newcomers = fact.join(known, "user_key", "left_anti")
-    users = q.first_row_null(newcomers)
+def check_gold(lake: Lake, since: datetime.date | None = None, days: list[datetime.date] | None = None) -> list:
+    """Audit the fact, or ``days`` of it, or its days from ``since`` on. No reading is sorted: what is
+    carried from day to day is told from the last readings."""
+    fact = lake.read("gold", "fct_heart_rate", _scope("event_date", since, days))
+    chains = q.broken_chains(fact, gold.user_days(lake.read("silver", "last_readings"), since, days))
+    dates = (fact.select("event_date").distinct()
+             .join(lake.read("silver", "dim_date").select(F.col("date_day").alias("event_date")), "event_date", "left_anti"))
 
     def as_report(df: DataFrame, rule: str, violations) -> DataFrame:
         return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations"),
                       F.count(F.lit(1)).alias("total")).select(
             F.lit("fct_heart_rate").alias("table"), F.lit(rule).alias("rule"), "violations", "total")
 
-    return q.gate([
+    reports = [
         q.report(fact, "fct_heart_rate", fact_rules()),
-        as_report(groups, "daily statistics agree", F.count_if(~F.col("matches"))),
-        as_report(users, "first reading has no previous", F.sum("violations")),
-    ])
+        as_report(q.reconcile_groups(fact), "daily statistics agree", F.count_if(~F.col("matches"))),
+        as_report(chains, "previous values continue", F.count(F.lit(1))),
+        as_report(dates, "days are in the calendar", F.count(F.lit(1))),
+    ]
+    if since is None and days is None:
+        reports.append(as_report(q.first_row_null(fact), "first reading has no previous", F.sum("violations")))
+    return q.gate(reports)
 
 
-def build_gold(lake: Lake, since: datetime.date | None = None, hot: Hot | None = None) -> None:
-    """The fact, or just its days from ``since`` on.
+def build_gold(lake: Lake, since: datetime.date | None = None, hot: Hot | None = None,
+               days: list[datetime.date] | None = None) -> None:
+    """The fact, or ``days`` of it, or just its days from ``since`` on.
 
-    A reading's previous value depends on earlier readings only, so days before
-    ``since`` stand. What they contribute is each user's last reading, found in
+    A reading's previous value depends on earlier readings only, so other days
+    stand. What they contribute is each user's last reading, found in
     the small table of last readings instead of the history itself.
     """
-    days = f"event_day >= date'{since}'" if since else None
-    fact = gold.fact_by_day(lake.read("silver", "heart_rate_cleaned", where=days),
-                            lake.read("silver", "last_readings"), since, hot)
-    lake.write(fact, "gold", "fct_heart_rate", only_partitions=bool(since), laid_out=True)
+    histories = {name: lake.read_if_any("silver", f"dim_{name}_history") for name in ("users", "activities")}
+    fact = gold.fact_by_day(lake.read("silver", "heart_rate_cleaned", where=_scope("event_day", since, days)),
+                            lake.read("silver", "last_readings"), since, hot, days, **histories)
+    lake.write(fact, "gold", "fct_heart_rate", only_partitions=bool(since) or days is not None, laid_out=True)
+
+
+def _write_gold(draft: Lake, days: list[datetime.date] | None = None) -> None:
+    """The fact, if any of its days change, and the dimensions as they were checked in silver."""
+    copies = [partial(publish, draft, key, rules=[]) for key in [*DIMENSIONS, *HISTORIES]]
+    side_by_side(*([] if days == [] else [partial(build_gold, draft, days=days)]), *copies)
 
 
 def full_refresh(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
                  last_day: datetime.date = dims.LAST_DAY) -> DataFrame:
-    """Bronze to gold. A failing check raises before the next layer is written."""
-    build_silver(lake, first_day, last_day)
-    check_silver(lake)
-    build_gold(lake)
-    for key in DIMENSIONS:
-        publish(lake, key, rules=[])  # checked just above
-    check_gold(lake)
+    """Bronze to gold. All tables are written aside and published together once every check holds;
+    a failing one raises, and silver and gold stay as they were."""
+    taken = lake.delta_leaves("heart_rate_cleaned")
+    with lake.transaction() as draft:
+        build_silver(draft, first_day, last_day)
+        check_silver(draft)
+        _write_gold(draft)
+        check_gold(draft)
+    lake.drop_deltas("heart_rate_cleaned", taken)
     return lake.read("gold", "fct_heart_rate")
 
 
-def merge_readings(lake: Lake, fresh: DataFrame) -> datetime.date | None:
-    """Merge new silver readings into their days, whichever those are; the first such day.
+def merge_days(lake: Lake, fresh: DataFrame, load: str | None = None) -> tuple[list[datetime.date], list[datetime.date]]:
+    """Merge new silver readings into their days, whichever those are; (those days, the days of
+    which the fact changes).
 
-    Only those days are read and rewritten, copies of known readings vanish, and readings
-    that break a rule go to the rejected table. The calendar bounds the list of days.
+    Only those days are read and rewritten and copies of known readings vanish. The fact
+    changes on them and on the next day that one of their users has a reading of, since a previous
+    value reaches just one reading ahead. Readings that break a rule go to the rejected table, under
+    their ``load`` (a column of ``fresh``, or the one named here), and replace what stood there. The
+    calendar bounds the lists of days.
     """
-    good, bad = split_readings(fresh)
-    lake.write(bad, "silver", "heart_rate_rejected", mode="append")
-    days = sorted(r["d"] for r in good.select(F.to_date("event_timestamp").alias("d")).distinct().collect())
-    if not days:
-        return None
-    listed = f"event_day IN ({', '.join(f"date'{d}'" for d in days)})"
-    merged = dedup_events(lake.read_if_any("silver", "heart_rate_cleaned", where=listed).unionByName(good))
-    # Spark will not overwrite what the same job reads, so the merged days are
-    # written beside the table first.
-    staged = shared_dir(lake.spark, "merge")
-    merged.write.parquet(staged)
-    lake.write(lake.spark.read.schema(merged.schema).parquet(staged),
-               "silver", "heart_rate_cleaned", only_partitions=True)
-    remove_path(lake.spark, staged)
-    touched = lake.read("silver", "heart_rate_cleaned", where=listed)
-    lake.write(silver.last_readings(touched), "silver", "last_readings", only_partitions=True)
-    return days[0]
+    if "load" not in fresh.columns:
+        fresh = fresh.withColumn("load", F.lit(load or "merge"))
+    with lake.transaction() as draft:
+        held = fresh.persist()
+        try:
+            good, bad = split_readings(held)
+            draft.write(dedup_events(bad, [*EVENT_KEY, "load"]), "silver", "heart_rate_rejected", only_partitions=True)
+            good = good.drop("load")
+            changed = good.select("user_id", F.to_date("event_timestamp").alias("day")).distinct()
+            days = sorted(r["day"] for r in changed.select("day").distinct().collect())
+            if not days:
+                return [], []
+            listed = _listed(days, "event_day")
+            merged = dedup_events(draft.read_if_any("silver", "heart_rate_cleaned", where=listed).unionByName(good))
+            draft.write(merged, "silver", "heart_rate_cleaned", only_partitions=True)
+            touched = draft.read("silver", "heart_rate_cleaned", where=listed)
+            draft.write(silver.last_readings(touched), "silver", "last_readings", only_partitions=True)
+            following = _next_days(draft.read("silver", "last_readings"), changed)
+            return days, sorted({*days, *following})
+        finally:
+            held.unpersist()
+
+
+def compact(lake: Lake) -> list[datetime.date]:
+    """Take what streams have brought into the cleaned readings' days; those days. Batches that land
+    meanwhile stay beside them, and a run that breaks off can be repeated."""
+    taken = lake.delta_leaves("heart_rate_cleaned")
+    if not taken:
+        return []
+    days, _ = merge_days(lake, _streamed(lake))
+    lake.drop_deltas("heart_rate_cleaned", taken)
+    return days
+
+
+def _next_days(last: DataFrame, changed: DataFrame) -> list[datetime.date]:
+    """The next day with a reading of each user of a changed day; not more rows than days."""
+    mine = last.join(changed.select("user_id").distinct(), "user_id", "left_semi").select(
+        "user_id", F.to_date("event_timestamp").alias("day"))
+    following = mine.withColumn("next", F.lead("day").over(Window.partitionBy("user_id").orderBy("day")))
+    return [r["next"] for r in following.join(changed, ["user_id", "day"], "left_semi")
+            .filter("next IS NOT NULL").select("next").distinct().collect()]
+
+
+def merge_readings(lake: Lake, fresh: DataFrame, load: str | None = None) -> datetime.date | None:
+    """``merge_days``; the first day merged into."""
+    return min(merge_days(lake, fresh, load)[0], default=None)
+
+
+def _restated_days(lake: Lake, last: DataFrame, old: dict[str, DataFrame]) -> list[datetime.date]:
+    """The days with readings whose user or activity has another version now than it had."""
+    days = last.select("user_id", F.to_date("event_timestamp").alias("day"))
+    valid = ((F.col("from_day").isNull() | (F.col("day") >= F.col("from_day")))
+             & (F.col("to_day").isNull() | (F.col("day") < F.col("to_day"))))
+    found = set()
+    users = changed_versions(old["users"], lake.read("silver", "dim_users_history"), "user_id", "user_sk")
+    found |= {r["day"] for r in days.join(users, "user_id").filter(valid).select("day").distinct().collect()}
+    activities = changed_versions(old["activities"], lake.read("silver", "dim_activities_history"), "activity_id", "activity_sk")
+    spans = activities.select("from_day", "to_day").distinct()  # of dates, so the calendar bounds them
+    each = days.select("day").distinct()
+    found |= {r["day"] for r in each.join(F.broadcast(spans), valid, "left_semi").collect()}
+    return sorted(found)
 
 
 def incremental_refresh(lake: Lake, since: datetime.date | None = None,
@@ -159,23 +281,29 @@ def incremental_refresh(lake: Lake, since: datetime.date | None = None,
 
     ``arrived_since`` takes the readings that arrived from that day on, whatever their
     event time, so a late one is not missed; ``since`` takes those dated that day or later,
-    by file statistics. The affected days follow from the readings taken, the fact is
-    rebuilt from the first of them on, and the checks read no earlier day. The
-    dimensions are reloaded from bronze.
+    by file statistics. Rebuilt are the days of the readings taken, the next day with a reading of
+    each of their users, and the days on which a user's or an activity's version is another
+    one now; the checks read no other day. The dimensions are reloaded from bronze and their
+    histories merged; what streams have brought is taken in. All is published together once the checks hold.
     """
     arrived = f"ingest_day >= date'{arrived_since}'" if arrived_since else None
-    raw = lake.read("bronze", "heartrate_stream", where=arrived)
+    raw = lake.read("bronze", "heartrate_stream", where=arrived, extra=("load",))
     if since:
         raw = raw.filter(F.col("timestamp") >= int(datetime.datetime.combine(
             since, datetime.time(), datetime.timezone.utc).timestamp()))
-    lake.write(silver.latest_users(lake.read("bronze", "raw_users")), "silver", "dim_users")
-    lake.write(silver.latest_activities(lake.read("bronze", "raw_activities")), "silver", "dim_activities")
-    first = merge_readings(lake, silver.heart_rate(raw))
-    check_silver(lake, first)
-    if first:
-        build_gold(lake, first)
-    for key in DIMENSIONS:
-        publish(lake, key, rules=[])  # checked just above
-    if first:
-        check_gold(lake, first)
-    return first
+    fresh = silver.heart_rate(raw, keep=("load",)).unionByName(_streamed(lake))
+    taken = lake.delta_leaves("heart_rate_cleaned")
+    with lake.transaction() as draft:
+        old = {name: lake.read_if_any("silver", f"dim_{name}_history") for name in ("users", "activities")}
+        build_dimensions(draft)
+        merged, days = merge_days(draft, fresh)
+        last = draft.read_if_any("silver", "last_readings")
+        days = sorted({*days, *_restated_days(draft, last, old)})
+        if merged:
+            build_calendar(draft)
+        check_silver(draft, days=merged)
+        _write_gold(draft, days)
+        if days:
+            check_gold(draft, days=days)
+    lake.drop_deltas("heart_rate_cleaned", taken)
+    return min(days, default=None)

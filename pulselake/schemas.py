@@ -11,6 +11,7 @@ _TYPES = {
     "string": T.StringType(), "boolean": T.BooleanType(), "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "array<string>": T.ArrayType(T.StringType()),
+    "snapshots": T.ArrayType(T.StructType([T.StructField("day", T.DateType()), T.StructField("last_update", T.StringType())])),
 }
 
 
@@ -42,6 +43,12 @@ DIM_USERS = _struct(
     " address string, address_country string, start_date date, end_date date"
 )
 DIM_ACTIVITIES = _struct("activity_id bigint, activity_name string, start_date date, end_date date")
+# One row for each version of a record, valid from start_date until before end_date.
+USERS_HISTORY = T.StructType([*_struct("user_sk bigint").fields, *DIM_USERS.fields])
+ACTIVITIES_HISTORY = T.StructType([*_struct("activity_sk bigint").fields, *DIM_ACTIVITIES.fields])
+SEEN = _struct("seen snapshots")
+USERS_REJECTED = T.StructType([*DIM_USERS.fields, *_struct("failed_rules array<string>").fields])
+ACTIVITIES_REJECTED = T.StructType([*DIM_ACTIVITIES.fields, *_struct("failed_rules array<string>").fields])
 # The six documented columns plus event_id, which breaks ties within a second.
 HEART_RATE_CLEANED = _struct(
     "user_id bigint, heart_rate bigint, event_timestamp timestamp, activity_id bigint,"
@@ -57,12 +64,15 @@ DIM_DATE = _struct(
     " prior_year_date_day date, prior_year_over_year_date_day date, year_start_date date,"
     " year_end_date date, day int, day_of_week int, day_name string, is_weekend boolean"
 )
+MONTH_END = _struct("month_end_date date")
 DIM_TIME = _struct("time_of_day string, hour int, minute int, second int, time_category string")
 FCT_HEART_RATE = _struct(
     "user_key bigint, heart_rate bigint, event_date date, event_time string,"
     " previous_heart_rate bigint, max_heart_rate bigint, min_heart_rate bigint,"
     " avg_heart_rate double, activity_id bigint, latitude double, longitude double"
 )
+# Keys of the versions of user and activity that are valid on the day of the reading.
+VERSION_KEYS = _struct("user_sk bigint, activity_sk bigint")
 
 
 class SchemaMismatch(ValueError):

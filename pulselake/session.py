@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a directory on whatever file system it is on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Run independent jobs at the same time, so that small ones do not wait for one another; their
+    results in order. The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        running = [pool.submit(step) for step in steps]
+    return [r.result() for r in running]

@@ -77,15 +77,19 @@ def topic_reader(spark: SparkSession, servers: str, topic: str, max_offsets: int
             .option("maxOffsetsPerTrigger", max_offsets).options(**options))
 
 
-def decode_events(messages: DataFrame, with_id: bool = False) -> DataFrame:
+def decode_events(messages: DataFrame, with_id: bool = False, lineage: bool = False) -> DataFrame:
     """Raw events from messages with a ``value`` of JSON text or bytes.
 
-    Works on a batch or a stream and for any source of such messages.
+    Works on a batch or a stream and for any source of such messages. ``lineage`` keeps where a
+    message was read: ``_topic``, ``_partition``, ``_offset`` and ``_message_time``.
     """
     schema = _event_schema(with_id, True)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     record = F.from_json(F.col("value").cast("string"), schema, options).alias("r")
-    return messages.select(record).select("r.*")
+    place = [F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), F.col("offset").alias("_offset"),
+             F.col("timestamp").alias("_message_time")] if lineage else []
+    return messages.select(record, *place).select("r.*", *[f"_{c}" for c in ("topic", "partition", "offset", "message_time")
+                                                          if lineage])
 
 
 def encode_events(events: DataFrame) -> DataFrame:

@@ -95,3 +95,16 @@ def user_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("last_update"),
         F.to_date("o_orderdate").alias("update_day"),
         F.col("o_orderkey").alias("version"))
+
+
+def user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw user records as successive files bring them: each order is an update of its customer's
+    address, on one of thirty days that the readings span; ``delivery`` is the file, 0 to 2, so that
+    later files hold older updates too."""
+    update = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 30).cast("int"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("userid"), F.col("o_orderpriority").alias("address"),
+        F.date_format(update, "yyyy-MM-dd'T'00:00:00'Z'").alias("last_update"),
+        (F.floor(F.col("o_orderkey") / 7) % 3).cast("int").alias("delivery"))
+    people = raw_users(spark, sf_dir).drop("address", "last_update")
+    return orders.join(people, "userid").select(*raw_users(spark, sf_dir).columns, "delivery")

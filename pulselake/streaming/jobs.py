@@ -5,14 +5,15 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from pulselake.operators.keys import dedup_events
 from pulselake.operators.ordered import with_previous
 from pulselake.operators.skew import Hot
-from pulselake.plans import silver
-from pulselake.registry import Lake
+from pulselake.plans import refresh, silver
+from pulselake.registry import BUCKET, Lake
 from pulselake.session import remove_path
 from pulselake.sources import raw
 
@@ -83,38 +84,61 @@ def incremental_append(spark: SparkSession, source: str, table: str, checkpoint:
     return drain(rows.writeStream.foreachBatch(load), checkpoint)
 
 
-def dedup(readings: DataFrame, lake: Lake) -> DataStreamWriter:
+def _label(checkpoint_or_job: str, batch_id: int) -> str:
+    return f"stream-{hashlib.md5(checkpoint_or_job.encode()).hexdigest()[:8]}-{batch_id}"
+
+
+def land_deltas(lake: Lake, batch: DataFrame, load: str) -> None:
+    """Put a batch of silver readings beside the cleaned ones, under its event days and users' buckets;
+    readings that break a rule go to the rejected table. Run again, a load replaces itself."""
+    good, bad = refresh.split_readings(batch)
+    lake.write(good.withColumn("load", F.lit(load)), "silver", "heart_rate_delta", only_partitions=True)
+    lake.write(dedup_events(bad).withColumn("load", F.lit(load)), "silver", "heart_rate_rejected", only_partitions=True)
+
+
+def dedup(readings: DataFrame, lake: Lake, job: str = "dedup") -> DataStreamWriter:
     """One row per event in the lake's cleaned readings, however late its copies arrive.
 
-    Each batch is merged into the days it holds with the batch rule, so no state grows, no
+    Each batch writes files of its own, for the days and buckets it has readings of and no others; a reader
+    of the cleaned readings merges them by the batch rule (``Lake.read``) until
+    ``refresh.compact`` or a refresh has taken them in. No state grows, no
     watermark drops a late reading, and a batch that is run again changes nothing."""
-    return readings.writeStream.foreachBatch(lambda batch, _: _merge(lake, batch))
+    return readings.writeStream.foreachBatch(lambda batch, n: land_deltas(lake, batch, _label(job, n)))
 
 
-def daily_stats(readings: DataFrame, lake: Lake, path: str) -> DataStreamWriter:
+STATS = ("user_id bigint, activity_id bigint, event_date date, max_heart_rate bigint, min_heart_rate bigint,"
+         " avg_heart_rate double")
+
+
+def daily_stats(readings: DataFrame, lake: Lake, path: str, job: str = "daily-stats") -> DataStreamWriter:
     """Daily statistics per user and activity below ``path``, of open days and for late readings too.
 
-    After the merge of each batch the statistics of the days from its first one on that it
-    touched are computed again and replace what stood there."""
-    def update(batch: DataFrame, _: int) -> None:
+    After each batch the statistics of the (day, bucket of users) pairs that it has readings of are computed
+    again and replace what stood there; all others are left alone."""
+    def update(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
-        if _merge(lake, held):
-            days = [r["d"] for r in held.select(F.to_date("event_timestamp").alias("d")).distinct().collect() if r["d"]]
+        land_deltas(lake, held, _label(job, batch_id))
+        pairs = (held.select(F.to_date("event_timestamp").alias("event_date"), F.expr(BUCKET).alias("bucket"))
+                 .filter("event_date IS NOT NULL").distinct())
+        days = sorted({r["event_date"] for r in pairs.collect()})  # at most days x buckets of the batch
+        if days:
             listed = f"event_day IN ({', '.join(f"date'{d}'" for d in days)})"
-            stats = (lake.read("silver", "heart_rate_cleaned", where=listed)
-                     .groupBy("user_id", "activity_id", F.to_date("event_timestamp").alias("event_date"))
+            stats = (lake.read_if_any("silver", "heart_rate_cleaned", where=listed)
+                     .withColumns({"event_date": F.to_date("event_timestamp"), "bucket": F.expr(BUCKET)})
+                     .join(F.broadcast(pairs), ["event_date", "bucket"], "left_semi")
+                     .groupBy("bucket", "user_id", "activity_id", "event_date")
                      .agg(F.max("heart_rate").alias("max_heart_rate"), F.min("heart_rate").alias("min_heart_rate"),
                           F.avg("heart_rate").alias("avg_heart_rate")))
-            (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_date").parquet(path))
+            (stats.hint("rebalance", F.col("event_date"), F.col("bucket"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_date", "bucket").parquet(path))
         held.unpersist()
 
     return readings.writeStream.foreachBatch(update)
 
 
-def _merge(lake: Lake, batch: DataFrame):
-    from pulselake.plans.refresh import merge_readings
-    return merge_readings(lake, batch)
+def read_daily_stats(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATS).parquet(path).drop("bucket")
 
 
 @dataclass
@@ -124,8 +148,10 @@ class PreviousReading:
     Each batch holds readings back until the event clock is ``delay`` past them
     and emits the settled ones in order, with the batch operator. That operator
     takes hot users apart, which state keyed by user could not. Between batches
-    ``root/state`` keeps, per batch id, the clock, the readings held back and each
-    user's last settled reading. Every directory is named by batch id and
+    ``root/state`` keeps the readings held back and each user's last settled reading, in ``buckets``
+    of users, and per batch the clock: how far it is and which batch wrote each bucket last. A batch
+    reads and writes the buckets it has readings to hold or settle of; users who are silent cost
+    nothing. Every directory is named by batch id and
     overwritten, so a batch that is run again after a failure leaves the same
     result. Readings later than ``delay`` go to ``root/late`` and those without a time to
     ``root/untimed``; ``reconciled`` puts all of them into their place, and ``counts`` says how
@@ -136,36 +162,61 @@ class PreviousReading:
     root: str
     delay: int = 3600
     hot: Hot | None = None
+    buckets: int = 64
 
     COLUMNS = ["user_id", "event_timestamp", "event_id", "heart_rate"]
+    CLOCK = "line bigint, held map<int, bigint>, last map<int, bigint>"
+    PARTS = ("held", "last")
 
-    def _state(self, part: str, batch_id: int) -> str:
-        return f"{self.root}/state/{part}/batch={batch_id}"
-
-    def _load(self, part: str, batch_id: int, like: DataFrame) -> DataFrame:
+    def _clock(self, batch_id: int) -> Row:
+        """(line, held, last): the event clock behind a batch, and the batch that wrote each bucket."""
         if batch_id < 0:
+            return Row(line=None, held={}, last={})
+        return self.spark.read.schema(self.CLOCK).parquet(f"{self.root}/state/clock/batch={batch_id}").first()
+
+    def _load(self, part: str, written: dict[int, int], like: DataFrame) -> DataFrame:
+        paths = [f"{self.root}/state/{part}/batch={n}/bucket={b}" for b, n in sorted(written.items())]
+        if not paths:
             return like.limit(0)
-        return like.sparkSession.read.schema(like.schema).parquet(self._state(part, batch_id))
+        return self.spark.read.schema(like.select(*self.COLUMNS).schema).parquet(*paths).select(
+            *self.COLUMNS, self._bucket())
 
-    def _line(self, batch_id: int) -> int | None:
-        if batch_id < 0:
-            return None
-        return self.spark.read.parquet(self._state("clock", batch_id)).first()["line"]
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("user_id"), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def _save(self, part: str, rows: DataFrame, batch_id: int) -> None:
+        (rows.withColumn("batch", F.lit(batch_id)).hint("rebalance", F.col("bucket"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch", "bucket").parquet(f"{self.root}/state/{part}"))
 
-    def _forget(self, batch_id: int) -> None:
-        """Remove state that no restart can ask for any more."""
-        if batch_id >= 0:
-            for part in ("held", "last", "clock"):
-                remove_path(self.spark, self._state(part, batch_id))
+    def _forget(self, batch_id: int, kept: list[Row]) -> None:
+        """Remove what only the clock behind ``batch_id`` names: no restart can ask for it any more."""
+        if batch_id < 0:
+            return
+        old = self._clock(batch_id)
+        for part in self.PARTS:
+            named = {(n, b) for clock in kept for b, n in clock[part].items()}
+            still = {n for n, _ in named}
+            for b, n in old[part].items():
+                if n not in still:
+                    remove_path(self.spark, f"{self.root}/state/{part}/batch={n}")
+                elif (n, b) not in named:
+                    remove_path(self.spark, f"{self.root}/state/{part}/batch={n}/bucket={b}")
+        remove_path(self.spark, f"{self.root}/state/clock/batch={batch_id}")
+
+    @staticmethod
+    def _buckets_of(rows: DataFrame) -> list[int]:
+        return [r["bucket"] for r in rows.select("bucket").distinct().collect()]
 
     def process(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
         """The ``foreachBatch`` function; ``final`` settles everything."""
-        everything = batch.select(*self.COLUMNS).persist()
+        everything = batch.select(*self.COLUMNS, self._bucket()).persist()
         second = F.unix_seconds("event_timestamp")
-        (everything.filter("event_timestamp IS NULL").write.mode("overwrite")
+        (everything.filter("event_timestamp IS NULL").drop("bucket").write.mode("overwrite")
          .parquet(f"{self.root}/untimed/batch={batch_id}"))
         rows = everything.filter("event_timestamp IS NOT NULL")
-        was = self._line(batch_id - 1)
+        clock = self._clock(batch_id - 1)
+        was = clock["line"]
         newest = rows.agg(F.max(second).alias("s")).first()["s"]
         lines = [x for x in (was, None if newest is None else newest - self.delay) if x is not None]
         line = max(lines, default=None)
@@ -173,28 +224,34 @@ class PreviousReading:
         fresh, late = rows, rows.limit(0)
         if was is not None:
             fresh, late = rows.filter(second >= was), rows.filter(second < was)
-        late.write.mode("overwrite").parquet(f"{self.root}/late/batch={batch_id}")
+        late.drop("bucket").write.mode("overwrite").parquet(f"{self.root}/late/batch={batch_id}")
 
-        held = self._load("held", batch_id - 1, rows).unionByName(fresh)
+        held = self._load("held", clock["held"], rows).unionByName(fresh).persist()
         settled = held if final else held.filter(second < F.lit(line))
-        if not final:
-            held.filter(second >= F.lit(line)).write.mode("overwrite").parquet(self._state("held", batch_id))
-
-        last = self._load("last", batch_id - 1, rows)
+        moved = self._buckets_of(settled)
+        last = self._load("last", {b: n for b, n in clock["last"].items() if b in moved}, rows)
         seeded = last.withColumn("_seed", F.lit(True)).unionByName(
             settled.withColumn("_seed", F.lit(False)))
         emitted = with_previous(seeded, "user_id", "event_timestamp", "event_id", "heart_rate",
                                 "previous_heart_rate", self.hot)
-        (emitted.filter(~F.col("_seed")).drop("_seed")
+        (emitted.filter(~F.col("_seed")).drop("_seed", "bucket")
          .write.mode("overwrite").parquet(f"{self.root}/out/batch={batch_id}"))
         if not final:
-            newest_row = F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r")
-            (seeded.groupBy("user_id").agg(newest_row).select("user_id", "r.*")
-             .write.mode("overwrite").parquet(self._state("last", batch_id)))
+            waiting = held.filter(second >= F.lit(line))
+            kept, touched = self._buckets_of(waiting), {*moved, *self._buckets_of(fresh)}
+            if touched.intersection(kept):
+                self._save("held", waiting.filter(F.col("bucket").isin([*touched])), batch_id)
+            if moved:
+                newest_row = F.max(F.struct("event_timestamp", "event_id", "heart_rate")).alias("r")
+                self._save("last", seeded.groupBy("user_id", "bucket").agg(newest_row).select("user_id", "r.*", "bucket"), batch_id)
             # The clock is written last: a batch without it did not complete.
-            (self.spark.range(1, numPartitions=1).select(F.lit(line).cast("bigint").alias("line"))
-             .write.mode("overwrite").parquet(self._state("clock", batch_id)))
-            self._forget(batch_id - 3)
+            now = Row(line=line, held={b: batch_id if b in touched else clock["held"][b] for b in kept},
+                      last={**clock["last"], **{b: batch_id for b in moved}})
+            (self.spark.createDataFrame([now], self.CLOCK).coalesce(1)
+             .write.mode("overwrite").parquet(f"{self.root}/state/clock/batch={batch_id}"))
+            if batch_id >= 3:
+                self._forget(batch_id - 3, [self._clock(batch_id - 2), self._clock(batch_id - 1), now])
+        held.unpersist()
         everything.unpersist()
 
     def writer(self, readings: DataFrame) -> DataStreamWriter:

@@ -103,3 +103,21 @@ def test_plain_fact_shuffles_once(spark):
     df.write.mode("overwrite").format("noop").save()
     plan = gold.fct_heart_rate(df, Hot())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_crowded_second_is_cut_evenly_whatever_its_ids(spark):
+    native = [(1, 100, i, 7) for i in range(1, 1501)]  # small ids of a source beside derived ones
+    derived = [(1, 100, (i * 6364136223846793005 + 1442695040888963407) % 2**64 - 2**63, 7) for i in range(1500)]
+    others = [(1, 200 + i, i, 7) for i in range(300)] + [(1, 9000, 5, 7)]
+    df = spark.createDataFrame(native + derived + others, "k long, s long, id long, v long").withColumn(
+        "ts", F.timestamp_seconds("s")).repartition(5)
+    limit = 150
+    sliced = ordered._slices(df, "k", "ts", "id", limit)
+    counts = {(r._hour, r._instant, r._part): r["count"] for r in sliced.groupBy("_hour", "_instant", "_part").count().collect()}
+    second = [n for (_, instant, _), n in counts.items() if instant == 100 * 10**6]
+    assert sum(second) == 3000 and max(second) < 2 * limit and len(second) > 20
+    assert counts[2, 0, 0] == 1  # an hour with few rows stays whole
+    values = df.withColumn("v", F.xxhash64("id"))
+    got = ordered.with_previous(values, "k", "ts", "id", "v", "p", Hot([1], limit))
+    want = ordered.with_previous(values, "k", "ts", "id", "v", "p", Hot())
+    assert got.exceptAll(want).count() == 0 and got.count() == 3301
