@@ -18,6 +18,7 @@ from pulselake.operators.skew import Hot, hot_keys, join_back, split_by_keys
 
 _SLICE = ["_hour", "_instant", "_part"]
 _PARTS = 256  # pieces at most that one crowded instant is cut into
+_SAMPLE, _DRAWS = 64, 1 << 20  # ties drawn for each piece, out of so many values of their hash
 _FIRST = -2**62  # stands for a missing time or id, which sorts first
 
 
@@ -35,16 +36,19 @@ def _slices(rows: DataFrame, key: str, ts: str, tie: str, limit: int) -> DataFra
              .filter(F.col("_n") > limit).select(key, "_hour", F.lit(True).alias("_dense")))
     rows = (rows.join(F.broadcast(hours), [key, "_hour"], "left")
             .withColumn("_instant", F.when(F.col("_dense"), instant).otherwise(F.lit(0))))
-    crowded = (rows.filter("_dense").groupBy(key, "_instant").agg(F.count(F.lit(1)).alias("_n"))
-               .filter(F.col("_n") > limit).select(key, "_instant", F.least(F.ceil(F.col("_n") / limit) * 2, F.lit(_PARTS)).alias("_pieces")))
-    steps = F.array(*[F.lit(i / _PARTS) for i in range(1, _PARTS)])
-    # Quantiles of a sketch, merged map-side; every n-th of them for fewer pieces.
-    cuts = (rows.filter("_dense").join(F.broadcast(crowded), [key, "_instant"])
-            .groupBy(key, "_instant").agg(F.percentile_approx(tie, steps, 10 * _PARTS).alias("_all"), F.first("_pieces").alias("_pieces"))
-            .select(key, "_instant", F.array_distinct(F.filter("_all", lambda x, i: (
-                F.pmod(i + 1, F.greatest(F.floor(F.lit(_PARTS) / F.col("_pieces")), F.lit(1))) == 0))).alias("_cuts")))
+    pieces = F.least(F.ceil(F.col("_n") / limit) * 2, F.lit(_PARTS))
+    crowded = (rows.filter("_dense").groupBy(key, "_hour", "_instant").agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > limit).select(key, "_hour", "_instant", "_n", pieces.alias("_pieces")))
+    # Quantiles of a sample of ties drawn by their hash: the plan has this twice, and both must agree.
+    drawn = F.pmod(F.xxhash64(tie), F.lit(_DRAWS)) * F.col("_n") < F.col("_pieces") * F.lit(_SAMPLE * _DRAWS)
+    every = F.greatest(F.floor(F.size("_all") / F.col("_pieces")), F.lit(1))
+    cuts = (rows.filter("_dense").join(F.broadcast(crowded), [key, "_hour", "_instant"])
+            .filter(F.col(tie).isNotNull() & drawn)
+            .groupBy(key, "_hour", "_instant", "_pieces").agg(F.sort_array(F.collect_list(tie)).alias("_all"))
+            .select(key, "_hour", "_instant", F.array_distinct(
+                F.filter("_all", lambda x, i: (i > 0) & (i % every == 0))).alias("_cuts")))
     part = F.when(F.col(tie).isNull(), F.lit(_FIRST)).otherwise(F.size(F.filter("_cuts", lambda c: c <= F.col(tie))).cast("long"))
-    return (rows.join(F.broadcast(cuts), [key, "_instant"], "left")
+    return (rows.join(F.broadcast(cuts), [key, "_hour", "_instant"], "left")
             .withColumn("_part", F.when(F.col("_cuts").isNotNull(), part).otherwise(F.lit(0)))
             .drop("_dense", "_cuts"))
 

@@ -138,7 +138,8 @@ def daily_stats(readings: DataFrame, lake: Lake, path: str, job: str = "daily-st
 
 
 def read_daily_stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STATS).parquet(path).drop("bucket")
+    """The statistics of all days, as the batch computation has them."""
+    return spark.read.schema(STATS).parquet(path).select(*[c.split()[0] for c in STATS.split(", ")])
 
 
 @dataclass

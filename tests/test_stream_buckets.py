@@ -51,8 +51,8 @@ def test_one_late_reading_writes_one_bucket(spark, path):
     changed = {os.path.dirname(f) for f in set(after) ^ set(stats)}
     assert len(changed) == 1 and "event_date=2024-01-03/bucket=" in changed.pop()
     run(lambda s: jobs.daily_stats(s, lake, out), late, 1)  # the batch once more
-    got = [tuple(r) for r in jobs.read_daily_stats(spark, out).filter("user_id = 5").collect()]
-    assert [(r[3], r[4], r[5]) for r in got] == [(200, 65, 132.5)]
+    got = jobs.read_daily_stats(spark, out).filter("user_id = 5").collect()
+    assert [(r.max_heart_rate, r.min_heart_rate, r.avg_heart_rate) for r in got] == [(200, 65, 132.5)]
     assert jobs.read_daily_stats(spark, out).count() == 40
 
 
