@@ -80,7 +80,7 @@ def build_dimensions(lake: Lake) -> None:
             rules = silver_rules()[key]
             reports.append(q.report(records, key, rules))
             good, bad = split(records, rules)
-            known = draft.read_if_any("silver", f"{key}_history", extra=("seen",))
+            known = draft.read("silver", f"{key}_history", extra=("seen",)) if draft.has("silver", f"{key}_history") else None
             tables = {key: dedup_latest(good, id_column, "last_update").drop("last_update"),
                       f"{key}_rejected": bad.drop("last_update").distinct(), f"{key}_history": history(good, known)}
             writes += [partial(draft.write, df, "silver", name) for name, df in tables.items()]

@@ -174,7 +174,7 @@ class Lake:
                 full = full.add(name, _KINDS.get(name, "date"))
         if t.corrupt:
             full = full.add(t.corrupt, "string")
-        if missing_ok and self._entry(t) is None and not self._manifest().files.exists(self.path(t.layer, t.key)):
+        if missing_ok and not self.has(t.layer, t.key):
             df = self.spark.createDataFrame([], full)
         else:
             df = self._load(t, full)
@@ -191,6 +191,11 @@ class Lake:
             self.path(layer, key))
         return df.filter(F.col(t.corrupt).isNotNull())
 
+    def has(self, layer: str, key: str) -> bool:
+        """Whether the table has been written."""
+        t = self.table(layer, key)
+        return self._entry(t) is not None or self._manifest().files.exists(self.path(layer, key))
+
     def read_if_any(self, layer: str, key: str, where: str | None = None, extra: Sequence[str] = ()) -> DataFrame:
         """``read``, or no rows if the table has not been written yet."""
         try:

@@ -11,12 +11,14 @@ from pyspark.sql import SparkSession
 
 # UTC keeps event_date stable whatever zone the cluster runs in. AQE sizes the
 # post-shuffle partitions, turns measured-small join sides into broadcasts and
-# splits skewed join partitions. RocksDB keeps streaming state off the heap.
+# splits skewed join partitions. RocksDB keeps streaming state off the heap. Call sites of
+# column expressions, for error messages, would double the time that plans take to build.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
