@@ -21,7 +21,7 @@ def _hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return (keyed(docs).select(ID, FINGERPRINT, F.posexplode(F.split(F.coalesce(TEXT, F.lit("")), "\n")).alias("pos", "line"))
             .select(ID, FINGERPRINT, "pos", line_key(F.col("line")).alias("key"))
             .filter(F.char_length("key") >= min_chars)
-            .select(ID, FINGERPRINT, "pos", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2")))
+            .select(ID, FINGERPRINT, "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")))
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: str = "none") -> DataFrame:
