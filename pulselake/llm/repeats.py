@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pulselake.llm.components import staged
 from pulselake.llm.text import FINGERPRINT, ID, TEXT, keyed, partitions, plain_id
-from pulselake.llm.vectorized import blocks, gram_hashes, mix
+from pulselake.llm.vectorized import BLOCK_BYTES, blocks, gram_hashes, mix
 
 KEY = "__key"  # of a row: a hash of id and fingerprint
 PLACE_BITS = np.uint64(28)
@@ -40,6 +40,8 @@ class Units:
     cut: Callable[[bytes, np.ndarray, np.ndarray, int, int], bytes]
     # whether a repetition within one text counts
     within: bool
+    # bytes of text that a task looks at together: some sixty times as many are held for byte units
+    block: int = BLOCK_BYTES
 
 
 @dataclass
@@ -90,7 +92,7 @@ def recurring_anchors(docs: DataFrame, kind: Units) -> DataFrame:
     buckets = 4 * partitions(docs)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in blocks(batches, 2):
+        for rows, data, offsets in blocks(batches, 2, kind.block):
             units, first, *_ = kind.split(data, offsets)
             found = find_anchors(units, first, kind)
             if not len(found.place):
@@ -158,7 +160,7 @@ def contexts(suspects: DataFrame, kind: Units, hot: frozenset) -> DataFrame:
     listed = np.array(sorted(hot), np.int64).view(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in blocks(batches, 2):
+        for rows, data, offsets in blocks(batches, 2, kind.block):
             units, first, begins, ends = kind.split(data, offsets)
             found = find_anchors(units, first, kind)
             if not len(found.place):
@@ -187,6 +189,9 @@ def contexts(suspects: DataFrame, kind: Units, hot: frozenset) -> DataFrame:
                     out.append((None, None, int(start + b - a), int(keys[t]), start, None))
                 else:
                     out.append((group, int(ids[t]), int(fps[t]), int(keys[t]), start, text))
+                if len(out) >= 4096:
+                    yield _context_rows(out)
+                    out = []
             yield _context_rows(out)
 
     return suspects.select(ID, FINGERPRINT, TEXT, KEY, "places").mapInArrow(run, CONTEXT)
@@ -201,7 +206,7 @@ def _context_rows(out: list[tuple]) -> pa.RecordBatch:
 def _applied(rows: DataFrame, kind: Units, join: bytes, out: str) -> DataFrame:
     """(doc_id's key, n_units, n_removed, n_spans, kept): the removals taken out of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in blocks(batches, 1):
+        for part, data, offsets in blocks(batches, 1, kind.block):
             _, first, begins, ends = kind.split(data, offsets)
             raw, result = data.tobytes(), []
             lists = zip(*[part.column(c).to_pylist() for c in (2, 3, 4)])
@@ -232,13 +237,13 @@ def without_repeats(docs: DataFrame, kind: Units, compare: Callable[[Iterator[pa
 
     ``compare`` gets the contexts sorted by anchor and returns rows of REMOVAL. The texts
     are shuffled once, for both the contexts and the result. A whole text that a smaller id has
-    too goes in one piece, as every window of it is there: such copies are told by 128 bits of
-    hash and the length, without their texts, and give no contexts.
+    too goes in one piece, as every window of it is there: such copies are told by two hashes of 64
+    bits with seeds of their own and the length, without their texts, and give no contexts.
     """
     n = partitions(docs)
     base = keyed(docs).withColumn(KEY, F.xxhash64(ID, FINGERPRINT))
     same = [FINGERPRINT, "__fp2", "__size"]
-    ids = base.select(KEY, ID, FINGERPRINT, F.xxhash64(TEXT, F.lit(1)).alias("__fp2"), F.octet_length(TEXT).alias("__size"))
+    ids = base.select(KEY, ID, FINGERPRINT, F.xxhash64(F.lit(1), TEXT).alias("__fp2"), F.octet_length(TEXT).alias("__size"))
     copies = staged(ids.join(ids.groupBy(*same).agg(F.min(ID).alias("least")), same).filter(F.col(ID) > F.col("least"))
                     .select(KEY).distinct(), "copies").repartition(n, KEY).withColumn("copy", F.lit(True))
     found = staged(recurring_anchors(base, kind), "anchors")

@@ -94,5 +94,5 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 100) -> DataFrame:
     judged on the input. Rows with equal id order by their text's fingerprint; rows equal in both
     are one document. Null text is empty, a null id the least.
     """
-    kind = Units(window, min(GRAM, window), _bytes, _slice, within=True)
+    kind = Units(window, min(GRAM, window), _bytes, _slice, within=True, block=1 << 20)
     return without_repeats(docs, kind, _compare(window), b"", "binary")

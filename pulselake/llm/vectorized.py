@@ -28,10 +28,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def blocks(batches: Iterator[pa.RecordBatch], column: int,
+           most: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, offsets) with the texts of a few megabytes at a time; null is empty.
 
-    A single text above BLOCK_BYTES is a block of its own.
+    A single text above ``most`` bytes is a block of its own.
     """
     for batch in batches:
         text = batch.column(column).cast(pa.binary()).fill_null(b"")
@@ -40,7 +41,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
         at = 0
         while at < len(text):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, "right")) - 1)
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
             yield batch.slice(at, to - at), data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at]
             at = to
 
