@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 CHUNK, OVERLAP = 1 << 16, 256  # characters
@@ -53,10 +54,20 @@ class Vocabulary:
         return np.cumsum(self.lengths[self.ids(text)])
 
 
-# A space or line feed behind a letter or digit: in no alternative of the byte-level
-# pattern does a match go on from a non-blank into a blank, so a token ends here whatever
-# stands around, and no special string holds a blank.
-STABLE = re.compile(r"(?<=[A-Za-z0-9])[ \n]")
+# Places where a token ends whatever stands around, as no match of the byte-level pattern goes on there:
+# before a blank behind anything else, and before punctuation behind a letter of any script (never the
+# other way round: punctuation may begin a contraction). Inside a special string the encodings disagree.
+STABLE = regex.compile(r"(?<=[\p{L}\p{N}\p{P}\p{S}])[ \n]|(?<=\p{L})[!-/:-@\[-`{-~\u3001\u3002\uFF01\uFF0C\uFF1A\uFF1B\uFF1F"
+                       r"\u060C\u061B\u061F\u0964\u2026]")
+
+
+def _reach(text: str, start: int, chunk: int, overlap: int) -> int:
+    """Where a chunk from ``start`` ends: with a stable place among its last ``overlap`` characters. It is
+    longer than ``chunk`` only where there is none in reach, as then no cut can be proven."""
+    if start + chunk >= len(text):
+        return len(text)
+    place = STABLE.search(text, start + chunk - overlap + 2)
+    return min(len(text), max(start + chunk, place.start() + overlap // 2 + 2)) if place else len(text)
 
 
 def count(text: str, ends: Callable[[str], np.ndarray], chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
@@ -65,26 +76,33 @@ def count(text: str, ends: Callable[[str], np.ndarray], chunk: int = CHUNK, over
     Neighbouring chunks overlap. They are spliced at a stable character boundary in the
     overlap that both encodings have as a token boundary: what is left of it is counted in
     the left chunk, the rest in the right one. Without such a boundary the overlap doubles,
-    in the end to both chunks as one.
+    in the end to both chunks as one. A chunk ends behind a stable place, so that this is rare: text of any
+    script is encoded little more than once.
     """
+    overlap = max(overlap, 4)
     if len(text) <= chunk:
         return len(ends(text))
-    total, start, stop = 0, 0, chunk
+    total, start, stop = 0, 0, _reach(text, 0, chunk, overlap)
     left, skip = ends(text[:stop]), 0  # skip: bytes of the chunk that are counted already
     while stop < len(text):
-        far, wide, cut = min(len(text), stop + chunk), overlap, None
+        wide, cut, far = overlap, None, stop
         while cut is None and stop - wide > start:
             begin = stop - wide
+            wide *= 2
+            places = [m.start() for m in STABLE.finditer(text, begin + 1, stop - 1)]
+            if not places:
+                continue
+            far = _reach(text, begin, max(chunk, 2 * (stop - begin)), overlap)
             right = ends(text[begin:far])
             base = len(text[start:begin].encode())
-            for m in STABLE.finditer(text, begin + 1, stop - 1):
-                at = len(text[begin:m.start()].encode())
+            for place in places:
+                at = len(text[begin:place].encode())
                 if base + at > skip and _is_end(left, base + at) and _is_end(right, at):
                     cut = at
                     break
-            wide *= 2
-        if cut is None:  # no boundary in the whole left chunk: both are one
-            left, stop = ends(text[start:far]), far
+        if cut is None:  # no boundary in the whole left chunk: it goes on, twice as long
+            stop = _reach(text, start, 2 * (stop - start), overlap)
+            left = ends(text[start:stop])
             continue
         total += int(np.searchsorted(left, base + cut, "right") - np.searchsorted(left, skip, "right"))
         left, start, stop, skip = right, begin, far, cut
