@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--events")
     load.add_argument("--checkpoint")
     load.add_argument("--look-back", help="leave out event files older than the newest loaded one by more, e.g. 3d")
+    load.add_argument("--archive", help="directory that loaded event files are moved to")
     build = commands.add_parser("refresh", help="build silver and gold")
     build.add_argument("--since", type=datetime.date.fromisoformat,
                        help="only the days from this one on; without it, everything")
@@ -43,7 +44,7 @@ def run(lake: Lake, args: argparse.Namespace) -> None:
             ingest.load_activities(lake, args.activities)
         if args.events:
             ingest.load_events(lake, args.events, args.checkpoint or f"{lake.root}/checkpoints/events",
-                               args.look_back)
+                               args.look_back, args.archive)
     elif args.since or args.arrived_since:
         refresh.incremental_refresh(lake, args.since, args.arrived_since)
     else:

@@ -57,7 +57,3 @@ def time_of_day(ts: Column) -> Column:
 def minute_of_day(ts: Column) -> Column:
     """``HH:mm:00``: the key of the per-minute time dimension."""
     return F.date_format(ts, "HH:mm:00")
-
-
-def hour_slot(ts: Column) -> Column:
-    return F.date_trunc("hour", ts)

@@ -53,13 +53,18 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stream_jsonl(spark: SparkSession, path: str, with_id: bool = False,
-                 max_files: int = 1000, max_age: str | None = None) -> DataFrame:
+                 max_files: int = 1000, max_age: str | None = None, archive: str | None = None) -> DataFrame:
     """New files below ``path``, ``max_files`` at a time, whatever their age.
 
     ``max_age`` is a look-back for those who ask for one: once there is history, a file
     older than the newest one by more than that is left alone. The first batch takes all.
+    ``archive`` is a directory that files go to once a batch behind theirs has begun; else the
+    source's list of files it has seen grows for ever, as does the listing of its directory.
     """
-    return (spark.readStream.schema(_event_schema(with_id, True))
+    reader = spark.readStream
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return (reader.schema(_event_schema(with_id, True))
             .option("recursiveFileLookup", True).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age or NO_AGE)

@@ -68,12 +68,13 @@ def to_topic(events: DataFrame, servers: str, topic: str) -> DataStreamWriter:
 
 
 def incremental_append(spark: SparkSession, source: str, table: str, checkpoint: str,
-                       with_id: bool = False, max_age: str | None = None) -> StreamingQuery:
+                       with_id: bool = False, max_age: str | None = None, archive: str | None = None) -> StreamingQuery:
     """Append to ``table`` the records of files not seen before, malformed ones
     included, each with its file and that file's modification time. The table is
     partitioned by the day of arrival and the load, like a batch append to it, so both can
-    be read together. Running it again without new files adds nothing."""
-    rows = raw.with_lineage(raw.stream_jsonl(spark, source, with_id, max_age=max_age))
+    be read together. Running it again without new files adds nothing. ``archive``: where
+    loaded files go."""
+    rows = raw.with_lineage(raw.stream_jsonl(spark, source, with_id, max_age=max_age, archive=archive))
     tag = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def load(batch: DataFrame, batch_id: int) -> None:

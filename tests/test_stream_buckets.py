@@ -128,3 +128,17 @@ def test_topic_options(more):
     asked = raw.topic_reader(Session(), "host:9092", "heartrate-topic1", max_offsets=5, **more).asked
     assert asked == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "heartrate-topic1",
                      "maxOffsetsPerTrigger": 5, **more}
+
+
+def test_loaded_files_go_to_the_archive(spark, path):
+    def load(name, event):
+        os.makedirs(path + "/in", exist_ok=True)
+        with open(f"{path}/in/{name}.json", "w") as f:
+            f.write(f'{{"event_id": {event}, "user_id": 1, "heart_rate": 70, "timestamp": 5, "meta": "x"}}\n')
+        jobs.incremental_append(spark, path + "/in", path + "/t", path + "/cp", with_id=True, archive=path + "/done")
+
+    for event, name in enumerate("abc"):
+        load(name, event)
+    archived = {n for _, _, names in os.walk(path + "/done") for n in names if n.endswith(".json")}
+    assert {"a.json"} <= archived and archived.isdisjoint(n for n in os.listdir(path + "/in") if n.endswith(".json"))
+    assert sorted(r.event_id for r in spark.read.parquet(path + "/t").collect()) == [0, 1, 2]
