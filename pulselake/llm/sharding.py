@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.llm.ranges import RANGE, ROW, START, ranged
-from pulselake.llm.text import NULL_ID, plain_id
+from pulselake.llm.text import NULL_ID
 
 KEY = ["__h", "__id"]
 
@@ -26,13 +26,12 @@ def shard(docs: DataFrame, shards: int = 24, ranges_per_shard: int = 16, whole_g
     of the input that have one of the new names give way to the new ones.
     """
     new = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    base = docs.drop(*new).withColumns({
-        "__h": F.xxhash64("text"), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-        "size": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8,
-        "text_crc32": F.crc32(F.encode("text", "UTF-8"))})
-    rows, total, _ = ranged(base.select(*KEY, "size", "text_crc32",
-                                        *[c for c in base.columns if c not in (*KEY, "size", "text_crc32")]),
-                            KEY, "size", shards * ranges_per_shard, ["text_crc32"])
+    base = docs.select(
+        F.xxhash64("text").alias("__h"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("__id"),
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8).alias("size"),
+        F.crc32(F.encode("text", "UTF-8")).alias("text_crc32"),
+        F.struct(*[c for c in docs.columns if c not in new]).alias("row"))  # so that no names clash
+    rows, total, _ = ranged(base, KEY, "size", shards * ranges_per_shard, ["text_crc32"])
     share = max(total, 1) / shards
     group = Window.partitionBy(RANGE, "__h")
     middle = F.when(F.sum("size").over(group) <= whole_group * share,
@@ -43,4 +42,4 @@ def shard(docs: DataFrame, shards: int = 24, ranges_per_shard: int = 16, whole_g
     return (placed.join(F.broadcast(firsts), "shard")
             .withColumns({"slot": F.col(ROW) - F.col("__first"), "law": F.lit("bytes"),
                           "grown_shard": F.lit(None).cast("int")})
-            .select(*[c for c in docs.columns if c not in new], *new))
+            .select("row.*", *new))

@@ -74,6 +74,14 @@ def test_shards(spark, monkeypatch, per_range):
     assert "lang" in out[0].asDict() and out[0].asDict().keys() >= set(docs.columns)
 
 
+def test_columns_named_like_the_operator_s_own(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 3}", i, str(i), None, -i, "r", 0.5) for i in range(20)],
+                                 "doc_id long, text string, __n long, __h string, __id string, __range int, row string, __first double")
+    out = shard(docs, shards=2).collect()
+    assert sorted((r["doc_id"], r["__n"], r["__h"], r["__id"], r["__range"], r["row"], r["__first"]) for r in out) == [
+        (i, i, str(i), None, -i, "r", 0.5) for i in range(20)]
+
+
 def test_no_rows(spark):
     assert shard(documents(spark, []).limit(0)).collect() == []
 
