@@ -28,19 +28,31 @@ def groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def block_pairs(members: DataFrame, key: list[str], size: int) -> DataFrame:
+def dealt(members: DataFrame, key: list[str], size: int, weight: str | None = None, load: int = 1) -> DataFrame:
     """``members`` dealt to (key, x, y): blocks of about ``size`` rows of a key, two by two.
 
     side is 0 where a block meets itself, else 1 or 2. A key of up to ``size`` rows is one
     group; of larger ones each row goes along once for each block, so no group is large.
+    With a ``weight`` a block's rows sum up to about ``load`` of it at the most.
     """
-    crowd = members.groupBy(*key).agg(F.count(F.lit(1)).alias("__m"))
+    parts = F.ceil(F.count(F.lit(1)) / size)
+    if weight:
+        parts = F.greatest(parts, F.ceil(F.sum(weight) / load))
+    crowd = members.groupBy(*key).agg(parts.cast("int").alias("__blocks"))
     columns = [c for c in members.columns if c not in key]
-    cut = (members.join(crowd, key)
-           .withColumn("__blocks", F.ceil(F.col("__m") / size).cast("int"))
-           .withColumn("__mine", F.pmod(F.xxhash64("node"), "__blocks").cast("int"))
-           .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
-           .select(*key, F.least("__mine", "__other").alias("x"), F.greatest("__mine", "__other").alias("y"),
-                   F.when(F.col("__mine") == F.col("__other"), 0).when(F.col("__mine") < F.col("__other"), 1)
-                   .otherwise(2).alias("side"), *columns))
-    return cut.repartition(*key, "x", "y").sortWithinPartitions(*key, "x", "y")
+    return (members.join(crowd, key)
+            .withColumn("__mine", F.pmod(F.xxhash64("node"), "__blocks").cast("int"))
+            .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+            .select(*key, F.least("__mine", "__other").alias("x"), F.greatest("__mine", "__other").alias("y"),
+                    F.when(F.col("__mine") == F.col("__other"), 0).when(F.col("__mine") < F.col("__other"), 1)
+                    .otherwise(2).alias("side"), *columns))
+
+
+def met(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Dealt rows, each group's beside one another in one task."""
+    return rows.repartition(*key, "x", "y").sortWithinPartitions(*key, "x", "y")
+
+
+def block_pairs(members: DataFrame, key: list[str], size: int) -> DataFrame:
+    """``members`` dealt and met."""
+    return met(dealt(members, key, size), key)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.llm.components import components, staged
-from pulselake.llm.grouped import block_pairs, groups
+from pulselake.llm.grouped import dealt, groups, met
 from pulselake.llm.text import FINGERPRINT, ID, NULL_ID, TEXT, keyed, plain_id, whole_rows
 from pulselake.llm.vectorized import BLANK, LOWER, blocks, gram_hashes, hash_words, mix, words
 
@@ -19,7 +19,8 @@ BANDED, BAND = 80, 4  # 20 bands: a pair at 0.8 shares none in 3 of 100,000 case
 REGISTERS = BANDED + 192  # by a second hash, for the estimate alone
 MANTISSA = 10  # bits; the leading-zero count takes 6
 MARGIN = 0.12  # below the threshold, nearly five standard deviations of the estimate
-BLOCK = 512  # members of a bucket that meet in one group
+BLOCK = 2048  # members of a bucket that meet in one group
+LOAD = 2 << 20  # shingles of a block
 NODE = "struct<id: bigint, h: bigint>"
 
 
@@ -137,70 +138,104 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, f"a {NODE}, b {NODE}")
 
 
-def _between(members: DataFrame, least: float) -> DataFrame:
-    """(a, b) in one bucket, of different components, that their registers estimate alike.
+def spanning(sets: list[np.ndarray], component: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join what links between the sets join: none within a component, or between ones that
+    the links before have joined. Sets of one side other than 0 do not meet.
 
-    A large bucket is cut into blocks, which meet two by two in tasks of their own; only
-    pairs that pass the estimate leave a task.
+    Sets meet all others one after the other, until those left are of one component. The largest
+    component's come last, so that its members do not meet among themselves.
     """
-    def pairs(group: pa.Table) -> set:
-        side, n = (group[c].to_numpy() for c in ("side", "n"))
-        r = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        component = np.array([(c["id"], c["h"]) for c in group["component"].to_pylist()])
-        nodes = [(x["id"], x["h"]) for x in group["node"].to_pylist()]
-        right, out = np.flatnonzero(side != 1), set()
-        for i in np.flatnonzero(side != 2):
-            j = right[(component[right] != component[i]).any(1)]
-            for k in j[estimate(r[i][None], r[j], n[i], n[j]) >= least]:
-                out.add((max(nodes[i], nodes[k]), min(nodes[i], nodes[k])))
-        return out
+    n = np.array([len(s) for s in sets])
+    order = np.argsort(n, kind="stable")
+    n, side, part = n[order], side[order], np.unique(component, return_inverse=True)[1].reshape(-1)[order]
+    first = np.concatenate([[0], np.cumsum(n)])
+    unit, place = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    mine, waiting, out = np.zeros(len(unit), bool), np.ones(len(n), bool), []
+    while True:
+        left = np.flatnonzero(waiting)
+        largest = np.bincount(part[left]).argmax()
+        others = left[part[left] != largest]
+        if not len(others) or (side[left] == side[left[0]]).all() and side[left[0]]:
+            return out
+        i = others[0]
+        waiting[i] = False
+        # Sets whose sizes differ by more cannot share so much.
+        lo, hi = np.searchsorted(100 * n, percent * n[i]), np.searchsorted(percent * n, 100 * n[i], "right")
+        fit = (part[lo:hi] != part[i]) & ((side[i] == 0) | (side[lo:hi] != side[i]))
+        if not fit.any():
+            continue
+        mine[place[first[i]:first[i + 1]]] = True
+        common = np.add.reduceat(mine[place[first[lo]:first[hi]]].view(np.int8), first[lo:hi] - first[lo], dtype=np.int64)
+        mine[place[first[i]:first[i + 1]]] = False
+        fit &= 100 * common >= percent * (n[i] + n[lo:hi] - common)
+        joined, at = np.unique(part[lo:hi][fit], return_index=True)
+        out += [(order[i], order[lo + j]) for j in np.flatnonzero(fit)[at]]
+        part[np.isin(part, joined)] = part[i]
+
+
+def _between(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): links between components of one bucket, as many as join what its pairs' links join.
+
+    A large bucket is cut into blocks, which meet two by two in tasks of their own. There the whole sets
+    are compared, so that no pair without a link and no link between what is joined leaves a task.
+    """
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in blocks(batches, 1):
+            sets = [s.tobytes() for s in shingle_sets(data, offsets, size)]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.struct([("id", pa.int64()), ("h", pa.int64())])
         for group in groups(batches, ["key", "x", "y"]):
-            found = sorted(pairs(group))
+            component = np.array([(c["id"], c["h"]) for c in group["component"].to_pylist()], "i8,i8")
+            sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
+            found = spanning(sets, component, group["side"].to_numpy(), percent)
             if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([{"id": p[s][0], "h": p[s][1]} for p in found], kind) for s in (0, 1)], ["a", "b"])
-
-    return block_pairs(members, ["key"], BLOCK).mapInArrow(run, f"a {NODE}, b {NODE}").distinct()
-
-
-def _star(members: DataFrame, nth: int = 1) -> DataFrame:
-    """(a, b): each node of a bucket with its hub, the node with the most company; for the second
-    hub that of another component than the first's, with the nodes that are not in its own."""
-    rank = F.struct("company", F.col("node").alias("hub"))
-    hubs = members.groupBy("key").agg(F.max(rank).alias("h"))
-    if nth == 1:
-        pairs = members.join(hubs.select("key", F.col("h.hub").alias("hub")), "key").filter("node != hub")
-    else:
-        hubs = members.groupBy("key").agg(F.max(F.struct("company", F.col("node").alias("hub"), "component")).alias("h"))
-        others = (members.join(hubs, "key").filter("component != h.component").groupBy("key")
-                  .agg(F.max(F.struct("company", F.col("node").alias("hub"), "component")).alias("h")))
-        pairs = (members.join(others.select("key", "h.hub", F.col("h.component").alias("own")), "key")
-                 .filter("component != own"))
+                node = group["node"].combine_chunks()
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(k, pa.int64())) for k in zip(*found)], ["a", "b"])
+
+    whole = (texts.join(members.select("node").distinct(), "node").select("node", TEXT)
+             .mapInArrow(shingled, f"node {NODE}, shingles binary"))
+    rows = dealt(members, ["key"], BLOCK, "n", LOAD).drop("n").join(whole, "node")
+    return met(rows.select("key", "x", "y", "side", "node", "component", "shingles"), ["key"]).mapInArrow(
+        run, f"a {NODE}, b {NODE}")
+
+
+def _star(members: DataFrame) -> DataFrame:
+    """(a, b): each node of a bucket with its hub, the node with the most company."""
+    hubs = members.groupBy("key").agg(F.max(F.struct("company", F.col("node").alias("hub"))).alias("h"))
+    pairs = members.join(hubs.select("key", F.col("h.hub").alias("hub")), "key").filter("node != hub")
     return pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
 def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members, with their component, of the buckets that hold more than one."""
+    """The members, with their component, of the buckets that hold more than one and a pair without the hub."""
     labelled = members.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-               .filter("lo != hi").select("key"))
+    several = (labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                           F.count(F.lit(1)).alias("m"))
+               .filter("lo != hi AND m > 2").select("key"))
     return labelled.join(several, "key")
 
 
+def _buckets(sets: DataFrame) -> DataFrame:
+    """(key, node, m) of the buckets of several nodes; of buckets with the same nodes, one."""
+    bands = _bands(sets)
+    crowds = (bands.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("s"),
+                                       F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("t"))
+              .filter("m > 1").groupBy("m", "s", "t").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times")))
+    return bands.join(crowds.select("key", (F.col("m") * F.col("times")).alias("m")), "key")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(__id, __fp, n_shingles, component, class): per row of ``docs`` its set's size and class.
 
     A row's set holds the distinct runs of ``size`` lower-cased words of its text, or all its
     words as one if they are fewer; without words it is empty and linked with nothing. Rows
     with equal sets are one node, named by the least id. Nodes that agree in a band of registers
-    are candidates. Each is first held against the bucket's hub, then against a hub of another
-    component, then, where a bucket still has several components, across those. An estimate from the registers sorts out
+    are candidates. Each is first held against the bucket's hub: an estimate from the registers sorts out
     pairs far below the threshold, and the whole sets confirm a link: ``percent`` of the
-    union or more is shared. component is the least id reachable by links, null if the set is
-    empty. No bucket's pairs are all made, and no group meets in one task.
+    union or more is shared. Where a bucket still has several components, their whole sets are held against one
+    another in blocks, which put out no more links than join components. component is the least id reachable
+    by links, null if the set is empty. No bucket's pairs are made as rows.
     """
     sketched = staged(sketches(docs, size), "sketches")
     node = F.struct(F.col("rep").alias("id"), F.col("h1").alias("h"))
@@ -208,9 +243,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                   .agg(F.min(ID).alias("rep"), F.min(F.struct(ID, FINGERPRINT, "registers")).alias("least"))
                   .select(node.alias("node"), "h2", "n", F.col("least.registers").alias("registers"),
                           F.col(f"least.{FINGERPRINT}").alias(FINGERPRINT)), "sets")
-    bands = _bands(sets)
-    crowds = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    suspects = staged(bands.join(crowds, "key"), "buckets")
+    suspects = staged(_buckets(sets), "buckets")
     near = percent / 100 - MARGIN
     # The text that the others in a bucket were made from shares more bands than they do
     # among themselves: the node with the most company is the hub.
@@ -224,18 +257,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .dropDuplicates(["node"]).select("node", TEXT), "texts")
     links = staged(_verified(tested, texts, size, percent), "verified")
     classes = staged(components(links), "classes")
-    mixed = staged(_mixed(suspects, classes), "mixed")
-    if not mixed.isEmpty():  # a second hub, of another component than the first
-        second = staged(_alike(_star(mixed, 2).join(tested, ["a", "b"], "left_anti"), sets, near), "stars")
-        tested = tested.unionByName(second)
-        links = links.unionByName(staged(_verified(second, texts, size, percent), "verified"))
-        classes = staged(components(links), "classes")
-        mixed = _mixed(mixed.drop("component"), classes)
-    rest = _between(mixed.select("key", "node", "component").join(sets.select("node", "n", "registers"), "node"), near)
-    rest = staged(rest.join(tested, ["a", "b"], "left_anti"), "rest")
-    more = staged(_verified(rest, texts, size, percent), "verified")
+    mixed = _mixed(suspects, classes).join(sets.select("node", "n"), "node")
+    mixed = staged(mixed.select("key", "node", "component", "n"), "mixed")
+    more = staged(_between(mixed, texts, size, percent), "between")
     if not more.isEmpty():
-        classes = components(links.unionByName(more))
+        known = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        classes = components(known.unionByName(more))
     found = sets.join(classes, "node", "left").select(
         F.col("node.h").alias("h1"), "h2", "n", F.coalesce("component", "node").alias("class"))
     return sketched.join(found, ["h1", "h2", "n"], "left").select(

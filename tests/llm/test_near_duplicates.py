@@ -64,6 +64,48 @@ def test_documents(spark, monkeypatch, seed, size, block):
     assert len(kept.collect()) == len(set(classes(range(len(nodes)), links).values()))
 
 
+@pytest.mark.parametrize("sides", [1, 2])
+@pytest.mark.parametrize("seed", range(4))
+def test_a_block_puts_out_what_joins_its_components(seed, sides):
+    r = np.random.default_rng(seed)
+    centre = [r.choice(1 << 40, 60, replace=False).astype(np.uint64) for _ in range(3)]
+    sets = [np.unique(np.concatenate([r.permutation(centre[k % 3])[:r.integers(53, 60)], r.integers(0, 1 << 40, r.integers(0, 5)).astype(np.uint64)]))
+            for k in range(70)]
+    side = np.zeros(70, int) if sides == 1 else r.integers(1, 3, 70)
+    links = [(i, j) for i in range(70) for j in range(i) if (sides == 1 or side[i] != side[j])
+             and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    before = [(k, k % 7) for k in range(0, 70, 7)]
+    component = np.array([(-k, c) for k, c in classes(range(70), before).items()], "i8,i8")
+    component["f0"] = -component["f1"]
+    got = hyperminhash.spanning(sets, component, side, 80)
+    known = list(enumerate(component["f1"].tolist()))
+    assert {(max(p), min(p)) for p in got} <= set(links) and len(links) > 100
+    assert classes(range(70), known + got) == classes(range(70), known + links)
+    assert len(got) == len(set(classes(range(70), known).values())) - len(set(classes(range(70), known + links).values()))
+    assert hyperminhash.spanning([np.array([3, 4], np.uint64)] * 2, np.array([(1, 1), (1, 1)], "i8,i8"), np.zeros(2, int), 80) == []
+
+
+def test_rows_grow_with_a_crowd_and_not_with_its_pairs(spark, monkeypatch):
+    """Texts of one origin, most of them far enough from one another to be no links, few by estimate alone."""
+    r = random.Random(8)
+    origin = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(f"x{i}y{k}" if r.random() < 0.045 else w for k, w in enumerate(origin))) for i in range(240)]
+    made, staged = [], hyperminhash.staged
+
+    def counted(df, label):
+        out = staged(df, label)
+        made.append((out.count(), label))
+        return out
+    monkeypatch.setattr(hyperminhash, "staged", counted)
+    got = hyperminhash.report(documents(spark, rows), 2, 80).collect()
+    bands = hyperminhash.BANDED // hyperminhash.BAND
+    assert max(n for n, _ in made) <= bands * len(rows)
+    assert max(n for n, label in made if label in ("between", "rest", "verified")) < 4 * len(rows)
+    sets = [shingles(t, 2) for _, t in rows]
+    links = [(a, b) for a in range(240) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert {x.doc_id: x.component_id for x in got} == classes(range(240), links)
+
+
 def test_estimates_are_near_the_truth():
     r = np.random.default_rng(1)
     for share in (0.3, 0.8, 0.95):
