@@ -24,12 +24,32 @@ def _slice(raw: bytes, _, __, a: int, b: int) -> bytes:
     return raw[a:b]
 
 
+def _recurring(contexts: list[bytes], window: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """The contexts that hold a window whose hash is also another one's, and from where to where such
+    windows reach in each."""
+    size = np.array([len(c) for c in contexts])
+    begin = np.cumsum(size) - size
+    hashes = gram_hashes(byte_units(np.frombuffer(b"".join(contexts), np.uint8)), window)
+    whose = np.repeat(np.arange(len(contexts)), size)[:len(hashes)]
+    inside = np.flatnonzero(np.arange(len(hashes)) + window <= (begin + size)[whose])
+    _, back, count = np.unique(hashes[inside], return_inverse=True, return_counts=True)
+    at = inside[count[back] > 1]
+    first = np.flatnonzero(np.diff(whose[at], prepend=-1))
+    last = np.concatenate([first[1:], [len(at)]]) - 1
+    which = whose[at[first]]
+    return which, (at[first] - begin[which], at[last] - begin[which] + window) if len(at) else (at, at)
+
+
 def repeated(contexts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(class, context, offset) of each window that another one equals, class by class.
 
-    The contexts form one text. In its suffix array equal windows are neighbours, whatever
-    comes between the contexts.
+    What of the contexts lies between windows whose hash recurs forms one text. In its suffix array
+    equal windows are neighbours, whatever comes between the contexts.
     """
+    which, skipped = _recurring(contexts, window)
+    if not len(which):
+        return (np.zeros(0, np.int64),) * 3
+    contexts = [contexts[i][a:b] for i, a, b in zip(which, *skipped)]
     text = b"\0".join(contexts)
     size = np.array([len(c) for c in contexts])
     begin = np.cumsum(size + 1) - size - 1
@@ -44,7 +64,7 @@ def repeated(contexts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray
     same[alike] = [text[i:i + window] == text[j:j + window] for i, j in zip(a, b)]
     several = same | np.concatenate([same[1:], [False]]) if len(order) else same
     kind, at = np.cumsum(~same)[several], order[several]
-    return kind, whose[at], at - begin[whose[at]]
+    return kind, which[whose[at]], at - begin[whose[at]] + skipped[0][whose[at]]
 
 
 def _compare(window: int):

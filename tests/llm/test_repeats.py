@@ -4,6 +4,7 @@ import pytest
 
 from pulselake.llm import repeats
 from pulselake.llm.gsaca import lyndon_groups, suffix_array
+from pulselake.llm import suffix_dedup
 from pulselake.llm.phrase_dedup import remove_repeated_phrases
 from pulselake.llm.suffix_dedup import remove_repeated_bytes, repeated
 from tests.llm.frames import blank_words, documents, odd_texts
@@ -107,3 +108,12 @@ def test_words(spark, monkeypatch, seed, window, hot):
 def test_no_rows(spark):
     docs = documents(spark, [(1, "a b c")]).limit(0)
     assert remove_repeated_bytes(docs).collect() == remove_repeated_phrases(docs).collect() == []
+
+
+def test_only_what_recurs_goes_into_a_suffix_array(monkeypatch):
+    sorted_texts, whole = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda t: sorted_texts.append(bytes(t)) or whole(t))
+    kind, context, offset = repeated([b"abcdefgh", b"xxcdefyy", b"ijklmnop", b"qr"], 3)
+    assert sorted(zip(kind.tolist(), context.tolist(), offset.tolist())) == [(1, 0, 2), (1, 1, 2), (2, 0, 3), (2, 1, 3)]
+    assert sorted_texts == [b"cdef\0cdef"]
+    assert [len(x) for x in repeated([b"abcd", b"efgh"], 3)] == [0, 0, 0] and len(sorted_texts) == 1
