@@ -68,10 +68,10 @@ def gate(reports: list[DataFrame], allowed: float = 0.0) -> list:
 
 def flag(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add ``failed_rules`` (names) and ``quarantined``."""
-    failed = F.array_compact(F.array(*[
-        F.when(F.coalesce(r.violated, F.lit(False)), F.lit(r.name)) for r in rules]))
-    return (df.withColumn("failed_rules", failed)
-            .withColumn("quarantined", F.size("failed_rules") > 0))
+    violated = [F.coalesce(r.violated, F.lit(False)) for r in rules]
+    failed = F.array_compact(F.array(*[F.when(v, F.lit(r.name)) for r, v in zip(rules, violated)]))
+    # Not read from the array: a filter on it would build the array for every row.
+    return df.withColumns({"failed_rules": failed, "quarantined": reduce(lambda a, b: a | b, violated, F.lit(False))})
 
 
 def quarantine(df: DataFrame, rules: list[Rule], path: str) -> None:

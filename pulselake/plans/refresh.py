@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, Window
@@ -51,6 +53,17 @@ def fact_rules() -> list[q.Rule]:
                       "max_heart_rate", "min_heart_rate", "avg_heart_rate")
 
 
+@contextmanager
+def cleaned_once(rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` held while the block runs. Spark moves filters below the parsing, where each rule
+    would parse the raw text again, for the good rows and once more for the others."""
+    held = rows.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def split(rows: DataFrame, rules: list[q.Rule]) -> tuple[DataFrame, DataFrame]:
     """(rows that keep all rules, the others with the names of those they break)."""
     flagged = q.flag(rows, rules)
@@ -73,10 +86,10 @@ def build_dimensions(lake: Lake) -> None:
         ("raw_users", "dim_users", "user_id", silver.users, silver.users_history),
         ("raw_activities", "dim_activities", "activity_id", silver.activities, silver.activities_history),
     ]
-    with lake.transaction() as draft:
+    with lake.transaction() as draft, ExitStack() as held:
         reports, writes = [], []
         for raw, key, id_column, clean, history in sources:
-            records = clean(draft.read("bronze", raw), keep=("last_update",))
+            records = held.enter_context(cleaned_once(clean(draft.read("bronze", raw), keep=("last_update",))))
             rules = silver_rules()[key]
             reports.append(q.report(records, key, rules))
             good, bad = split(records, rules)
@@ -102,14 +115,16 @@ def _streamed(lake: Lake) -> DataFrame:
 def build_silver(lake: Lake, first_day: datetime.date = dims.FIRST_DAY,
                  last_day: datetime.date = dims.LAST_DAY) -> None:
     raw = lake.read("bronze", "heartrate_stream", extra=("load",))
-    good, bad = split_readings(silver.heart_rate(raw, keep=("load",)))
-    good = good.drop("load").unionByName(_streamed(lake).drop("load"))
-    with lake.transaction() as draft:
-        side_by_side(
-            partial(build_dimensions, draft),
-            partial(draft.write, dedup_events(good), "silver", "heart_rate_cleaned"),
-            partial(draft.write, dedup_events(bad, [*EVENT_KEY, "load"]), "silver", "heart_rate_rejected"),
-            partial(draft.write, dims.dim_time(lake.spark), "silver", "dim_time"))
+    with lake.transaction() as draft, cleaned_once(silver.heart_rate(raw, keep=("load",))) as held:
+        good, bad = split_readings(held)
+        good = good.drop("load").unionByName(_streamed(lake).drop("load"))
+
+        def write_readings() -> None:  # one after the other: the second finds what the first has held
+            draft.write(dedup_events(good), "silver", "heart_rate_cleaned")
+            draft.write(dedup_events(bad, [*EVENT_KEY, "load"]), "silver", "heart_rate_rejected")
+
+        side_by_side(partial(build_dimensions, draft), write_readings,
+                     partial(draft.write, dims.dim_time(lake.spark), "silver", "dim_time"))
         draft.write(silver.last_readings(draft.read("silver", "heart_rate_cleaned")), "silver", "last_readings")
         build_calendar(draft, first_day, last_day)
 
@@ -215,8 +230,7 @@ def merge_days(lake: Lake, fresh: DataFrame, load: str | None = None) -> tuple[l
     if "load" not in fresh.columns:
         fresh = fresh.withColumn("load", F.lit(load or "merge"))
     with lake.transaction() as draft:
-        held = fresh.persist()
-        try:
+        with cleaned_once(fresh) as held:
             good, bad = split_readings(held)
             draft.write(dedup_events(bad, [*EVENT_KEY, "load"]), "silver", "heart_rate_rejected", only_partitions=True)
             good = good.drop("load")
@@ -231,8 +245,6 @@ def merge_days(lake: Lake, fresh: DataFrame, load: str | None = None) -> tuple[l
             draft.write(silver.last_readings(touched), "silver", "last_readings", only_partitions=True)
             following = _next_days(draft.read("silver", "last_readings"), changed)
             return days, sorted({*days, *following})
-        finally:
-            held.unpersist()
 
 
 def compact(lake: Lake) -> list[datetime.date]:

@@ -65,6 +65,26 @@ def test_readings_that_break_a_rule_are_set_aside_and_the_rest_loads(spark, path
     assert got == {1: ["range(latitude)"], 2: ["castable(event_timestamp,timestamp)"]}
 
 
+@pytest.mark.parametrize("name", ["heart_rate", "users"])
+def test_a_raw_record_is_cleaned_once_however_many_tables_it_goes_to(spark, path, monkeypatch, name):
+    seen, clean = spark.sparkContext.accumulator(0), getattr(silver, name)
+
+    def counted(raw, keep=()):
+        rows = clean(raw, keep)
+
+        def run(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return rows.mapInArrow(run, rows.schema)
+
+    lake = bronze(spark, path, events(spark, [1]))
+    monkeypatch.setattr(refresh.silver, name, counted)
+    refresh.build_silver(lake)
+    assert seen.value == {"heart_rate": 20, "users": 4}[name]
+
+
 def test_an_increment_takes_late_readings_and_new_users(spark, path):
     users = [{"userid": u} for u in range(10001, 10005)]
     lake = bronze(spark, path, events(spark, [1, 3]), raw_users(spark, users[:2]))
